@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lookback.session import setting
 from lookback.sources.files import is_path, load
 
 
@@ -71,14 +72,13 @@ def replace_partitions(
     same rows leaves the table as it is, and other days stay untouched."""
     layout = [*partition_by, *cluster_by]
     df = clustered(df, layout) if cluster_by else rebalanced(df, partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if is_path(target):
-        writer.partitionBy(*partition_by).parquet(target)
-    else:
-        columns = df.sparkSession.table(target).columns
-        df.select(*columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(target)
+    # insertInto takes the mode from the session only.
+    with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        if is_path(target):
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        else:
+            existing = df.sparkSession.table(target).schema
+            to_schema(df, existing).write.insertInto(target, overwrite=True)
 
 
 def insert_overwrite(df: DataFrame, table: str) -> None:
@@ -112,7 +112,9 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
-def create_table(spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
+def create_table(
+    spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = ()
+) -> None:
     """Declare an empty table if it does not exist yet."""
     if not spark.catalog.tableExists(table):
         write_table(spark.createDataFrame([], schema), table, partition_by)

@@ -38,7 +38,12 @@ from lookback.operators.pit import (
 from lookback.functions.predicates import days_between
 from lookback.plans import bindings as b
 from lookback.plans import layers, rules
-from lookback.plans.features import compute_features, event_stream, feature_metrics
+from lookback.plans.features import (
+    compute_features,
+    compute_features_sql,
+    event_stream,
+    feature_metrics,
+)
 from lookback.session import scratch_dir
 from lookback.sources.files import load, read_csv, read_jsonl, with_lineage
 from lookback.streaming.ingest import ingest_new_files, stream_files
@@ -238,6 +243,20 @@ def click_features_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir, "binned")
 
 
+@query
+def click_features_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature query written in SQL; its plain double sums are rounded here."""
+    features = compute_features_sql(
+        b.impressions(spark, sf_dir),
+        b.clicks(spark, sf_dir),
+        b.payments(spark, sf_dir),
+        _last_view_day(spark, sf_dir),
+    ).drop("_computed_at")
+    return features.withColumns(
+        {c: F.round(c, 6) for c in ("amount_3w", "ctr_3w", "avg_ticket_3w")}
+    )
+
+
 def _orders_90d(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
     orders = b.table(spark, sf_dir, "orders").select(
         "o_orderkey",

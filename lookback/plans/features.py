@@ -87,3 +87,67 @@ def compute_features(
         .withColumn("_computed_at", now(clock))
         .select(*schemas.FEATURES.names)
     )
+
+
+# The feature query as Spark SQL, for callers that work in SQL. Relations and the
+# window lengths come in as parameters; the plan is the one of the window form.
+_FEATURES_SQL = """
+WITH events AS (
+  SELECT user_id, value_prop, day, 'print' AS etype, CAST(0 AS DOUBLE) AS amount FROM {prints}
+  UNION ALL
+  SELECT user_id, value_prop, day, 'tap', CAST(0 AS DOUBLE) FROM {taps}
+  UNION ALL
+  SELECT user_id, value_prop, day, 'pay', total FROM {pays}
+),
+daily AS (
+  SELECT user_id, value_prop, day,
+    count_if(etype = 'print') AS views, count_if(etype = 'tap') AS taps,
+    count_if(etype = 'pay') AS pays, sum(CASE WHEN etype = 'pay' THEN amount END) AS amount
+  FROM events
+  WHERE user_id IS NOT NULL AND value_prop IS NOT NULL
+    AND day BETWEEN date_sub(:first_day, :lookback) AND :last_day
+  GROUP BY user_id, value_prop, day
+),
+rolled AS (
+  SELECT user_id, value_prop, day, taps > 0 AS tapped,
+    sum(views) OVER past AS views_3w, sum(taps) OVER past AS taps_3w,
+    sum(pays) OVER past AS pays_3w, sum(amount) OVER past AS amount_3w
+  FROM daily
+  WINDOW past AS (PARTITION BY user_id, value_prop ORDER BY unix_date(day)
+                  RANGE BETWEEN :lookback PRECEDING AND 1 PRECEDING)
+),
+spine AS (
+  SELECT DISTINCT day, user_id, value_prop, position FROM {prints}
+  WHERE day BETWEEN :first_day AND :last_day
+),
+filled AS (
+  SELECT s.*, CAST(coalesce(r.tapped, false) AS INT) AS clicked,
+    coalesce(r.views_3w, 0) AS views_3w, coalesce(r.taps_3w, 0) AS taps_3w,
+    coalesce(r.pays_3w, 0) AS pays_3w, coalesce(r.amount_3w, 0.0D) AS amount_3w
+  FROM spine s LEFT JOIN (SELECT * FROM rolled WHERE day >= :first_day) r
+    USING (day, user_id, value_prop)
+)
+SELECT day, user_id, value_prop, position, clicked, views_3w, taps_3w, pays_3w, amount_3w,
+  CASE WHEN views_3w > 0 THEN taps_3w / views_3w ELSE 0.0D END AS ctr_3w,
+  CASE WHEN pays_3w > 0 THEN amount_3w / pays_3w ELSE 0.0D END AS avg_ticket_3w,
+  current_timestamp() AS _computed_at
+FROM filled
+"""
+
+
+def compute_features_sql(
+    prints: DataFrame,
+    taps: DataFrame,
+    pays: DataFrame,
+    last_day: dt.date,
+    feature_window_days: int = 21,
+    serving_window_days: int = 7,
+) -> DataFrame:
+    first, last = serving_days(last_day, serving_window_days)
+    return prints.sparkSession.sql(
+        _FEATURES_SQL,
+        args={"first_day": first, "last_day": last, "lookback": feature_window_days},
+        prints=prints,
+        taps=taps,
+        pays=pays,
+    )

@@ -187,10 +187,22 @@ def run_maintenance(spark: SparkSession, cfg: PipelineConfig) -> None:
     dq_latest(spark.table(cfg.audit_table)).createOrReplaceTempView("dq_latest")
 
 
-def run(spark: SparkSession, cfg: PipelineConfig, strict: bool = False, quarantine: bool = False) -> Run:
-    """Ingest, conform, compute features, publish; returns the run's identity."""
+def run(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    strict: bool = False,
+    quarantine: bool = False,
+    checkpoints: str | None = None,
+) -> Run:
+    """Ingest, conform, compute features, publish; returns the run's identity.
+
+    With ``checkpoints`` the ingest is incremental and takes only new landing files.
+    """
     this = Run.new()
-    run_ingest(spark, cfg)
+    if checkpoints:
+        run_ingest_stream(spark, cfg, checkpoints)
+    else:
+        run_ingest(spark, cfg)
     run_conform(spark, cfg, this, strict, quarantine)
     run_features(spark, cfg, this)
     return this

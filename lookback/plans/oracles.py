@@ -235,6 +235,9 @@ FROM u GROUP BY user_id, value_prop, ev_day""",
     "click_features": _FEATURES,
     "click_features_join": _FEATURES,
     "click_features_binned": _FEATURES,
+    "click_features_sql": f"""WITH {_TABLES}, {_features('f')}
+SELECT {_KEY}, clicked, views_3w, taps_3w, pays_3w, round(amount_3w, 6) AS amount_3w,
+  round(ctr_3w, 6) AS ctr_3w, round(avg_ticket_3w, 6) AS avg_ticket_3w FROM f""",
     "pit_orders_90d": _ORDERS_90D,
     "pit_orders_90d_binned": _ORDERS_90D,
     "pit_foreign_spine": f"""WITH {_TABLES}

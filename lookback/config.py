@@ -28,6 +28,8 @@ class PipelineConfig:
     serving_window_days: int = 7
     # Clock for "not in the future" rules; None means the wall clock.
     as_of: dt.date | None = None
+    # What to do with rows that have no user: fail, drop or warn.
+    null_user: str = "fail"
     # Decimal places of money. Set: sums are exact fixed point. None: plain doubles.
     amount_scale: int | None = None
 

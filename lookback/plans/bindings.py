@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback import schemas
@@ -21,27 +21,37 @@ VIEW, CLICK, PURCHASE = "view", "click", "purchase"
 AS_OF = dt.date(2024, 1, 28)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared, so that no job reads file footers to find them out.
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
+    " value DOUBLE, props STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,"
+    " o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+}
+
+_CATEGORY = "element_at(array({}), k % {} + 1)".format(
+    ", ".join(f"'{c}'" for c in CATEGORIES), len(CATEGORIES)
+)
 
 
-def category(k: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), k % len(CATEGORIES) + 1)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def typed(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     """Events of one type with the day, entity, position and amount (a bag)."""
-    k = F.from_json("props", "k INT")["k"]
     return (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type") == event_type)
-        .select(F.to_date("ts").alias("day"), "user_id", "value", k.alias("k"))
-        .select(
+        .where(f"event_type = '{event_type}'")
+        .selectExpr(
+            "to_date(ts) AS day", "user_id", "value", "from_json(props, 'k INT').k AS k"
+        )
+        .selectExpr(
             "day",
             "user_id",
-            category(F.col("k")).alias("value_prop"),
-            (F.col("k") % 4).alias("position"),
-            F.col("value").alias("total"),
+            f"{_CATEGORY} AS value_prop",
+            "k % 4 AS position",
+            "value AS total",
             "k",
         )
     )
@@ -62,16 +72,12 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messy(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     """All events of a type, with faults for the rules to find: missing and unknown
     categories, positions past the range, negative amounts."""
-    k = F.col("k")
-    return typed(spark, sf_dir, event_type).select(
+    return typed(spark, sf_dir, event_type).selectExpr(
         "day",
         "user_id",
-        F.when(k >= 95, F.lit(None))
-        .when(k >= 90, F.lit("other"))
-        .otherwise(F.col("value_prop"))
-        .alias("value_prop"),
-        (k % 13).alias("position"),
-        (F.col("total") - 5).alias("total"),
+        "CASE WHEN k >= 95 THEN NULL WHEN k >= 90 THEN 'other' ELSE value_prop END AS value_prop",
+        "k % 13 AS position",
+        "total - 5 AS total",
         "k",
     )
 

@@ -61,16 +61,20 @@ def compute_features(
     amount_scale: int | None = None,
     form: str = "window",
     clock: dt.datetime | None = None,
+    distinct_prints: bool = False,
 ) -> DataFrame:
     """Features of the impressions of the last ``serving_window_days`` days.
 
     ``last_day`` is the latest impression day; without it a small job looks it up.
     The impressions served are distinct; the history counts as it is given.
+    ``distinct_prints`` says that ``prints`` is a set already, which saves a shuffle.
     """
     # No impressions: any day selects none of them.
     last = last_day or last_day_of(prints) or dt.date(1970, 1, 1)
     days = serving_days(last, serving_window_days)
-    spine = distinct_on(prints, schemas.EVENT_KEY)
+    spine = prints.select(*schemas.EVENT_KEY)
+    if not distinct_prints:
+        spine = distinct_on(spine, schemas.EVENT_KEY)
     features = pit_features(
         spine,
         event_stream(prints, taps, pays),

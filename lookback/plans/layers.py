@@ -104,7 +104,14 @@ def _conform(
 ) -> None:
     typed = flatten(spark.table(cfg.b(f"{table}_raw")))
     valid = apply_expectations(
-        spark, typed, expectations, "silver", table, cfg.audit_table, run.run_id, run.checked_at
+        spark,
+        typed,
+        expectations,
+        "silver",
+        table,
+        cfg.audit_table,
+        run.run_id,
+        run.checked_at,
     )
     if quarantine:
         append(quarantined(typed, expectations, run.checked_at), cfg.m(f"{table}_quarantine"))
@@ -125,14 +132,13 @@ def run_conform(
     """
     create_schemas(spark, cfg)
     run = run or Run.new()
-    events = rules.event_rules(cfg.as_of, strict)
+    events = rules.event_rules(cfg.as_of, strict, cfg.null_user)
     for table in ("prints", "taps"):
         _conform(
             spark, cfg, run, table, flatten_events, events, schemas.EVENT_KEY, quarantine
         )
-    _conform(
-        spark, cfg, run, "pays", flatten_payments, rules.payment_rules(), None, quarantine
-    )
+    pays = rules.payment_rules(cfg.null_user)
+    _conform(spark, cfg, run, "pays", flatten_payments, pays, None, quarantine)
 
 
 def build_features(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
@@ -143,11 +149,15 @@ def build_features(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
         cfg.feature_window_days,
         cfg.serving_window_days,
         amount_scale=cfg.amount_scale,
+        distinct_prints=True,
     )
 
 
 def run_features(
-    spark: SparkSession, cfg: PipelineConfig, run: Run | None = None, keep_older_days: bool = False
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    run: Run | None = None,
+    keep_older_days: bool = False,
 ) -> None:
     """Compute, check and publish the feature table.
 

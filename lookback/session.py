@@ -18,6 +18,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Call sites of column expressions cost most of the time it takes to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

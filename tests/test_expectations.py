@@ -18,6 +18,7 @@ from lookback.operators.expectations import (
     keep_valid,
     key_duplicates,
     quarantined,
+    summary,
 )
 from lookback.operators.publish import append_rows, load
 from lookback.plans import rules
@@ -100,6 +101,11 @@ def test_empty_input_passes_with_rate_zero(spark, faulty):
     assert evaluate(faulty.limit(0), [TOTAL]) == ({"total": 0}, 0)
 
 
+def test_summary_has_a_line_per_rule(faulty):
+    text = summary(audit_frame(faulty, [USER, TOTAL], "silver", "pays", "r", AT).collect(), "pays")
+    assert len(text.splitlines()) == 3 and "1 of 4 (25.00%)" in text
+
+
 def test_audit_row_has_the_declared_schema(faulty):
     df = audit_frame(faulty, [USER, TOTAL], "silver", "pays", "r", AT)
     assert df.columns == schemas.AUDIT.names
@@ -162,7 +168,8 @@ def test_rule_catalogue_sizes_and_clock(spark):
     late = spark.createDataFrame([(dt.date(2024, 1, 2), 1, "point", 11)], schemas.EVENTS)
     failed, _ = evaluate(late, rules.event_rules(dt.date(2024, 1, 1)))
     assert {n for n, c in failed.items() if c} == {"day_not_future", "position_in_range"}
-    actions = {r.name: r.action for r in rules.event_rules(strict=True)}
+    actions = {r.name: r.action for r in rules.event_rules(strict=True, null_user="drop")}
+    assert actions["user_id_not_null"] == "drop"
     assert actions["value_prop_known"] == actions["position_in_range"] == "drop"
 
 

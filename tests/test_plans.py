@@ -1,10 +1,15 @@
 """What the physical plans must and must not contain."""
 
+import datetime as dt
 import re
+from contextlib import ExitStack
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from lookback import compute_features, schemas
+from lookback.session import setting
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = contract.queries()
@@ -64,6 +69,47 @@ def test_join_sides_sit_on_shuffles_so_that_skew_can_be_split(spark, no_broadcas
     assert all("Exchange hashpartitioning" in lines[i + 1] for i in sides)
 
 
+def test_hot_spine_day_is_split(spark, no_broadcast):
+    """One entity and day with thousands of positions holds most of the spine."""
+    day = F.lit("2024-01-30").cast("date")
+    hot = spark.range(0, 60000, 1, 8).select(
+        day.alias("day"),
+        F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("user_id"),
+        F.lit("point").alias("value_prop"),
+        F.col("id").cast("int").alias("position"),
+    )
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        # Thousands of rows would merge into one map task, which has nothing to split.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with ExitStack() as stack:
+        for key, value in small.items():
+            stack.enter_context(setting(spark, key, value))
+        pays = hot.withColumn("total", F.lit(1.0)).drop("position")
+        df = compute_features(hot, hot.limit(0), pays)
+        assert len(df.collect()) == 60000
+        assert "SortMergeJoin(skew=true)" in plan_of(df)
+
+
+def test_distinct_prints_saves_a_shuffle(spark, no_broadcast):
+    d = spark.createDataFrame([], schemas.EVENTS)
+    pays = spark.createDataFrame([], schemas.PAYMENTS)
+    last = dt.date(2024, 1, 30)
+    counts = [
+        plan_of(compute_features(d, d, pays, last_day=last, distinct_prints=x)).count("Exchange")
+        for x in (False, True)
+    ]
+    assert counts == [5, 4]
+
+
+def test_snapshot_diff_is_an_equality_join(spark, no_broadcast):
+    plan = plan_of(QUERIES["feature_snapshot_diff"](spark, SF_DIR))
+    assert "FullOuter" in plan and not re.search("NestedLoop|Cartesian", plan)
+
+
 def test_audit_is_one_scan(spark):
     plan = plan_of(QUERIES["dq_events"](spark, SF_DIR))
     assert plan.count("FileScan parquet") == 1

@@ -81,6 +81,39 @@ def replace_partitions(
             to_schema(df, existing).write.insertInto(target, overwrite=True)
 
 
+def replace_table(
+    df: DataFrame,
+    table: str,
+    partition_by: str,
+    cluster_by: Sequence[str] = (),
+    schema: StructType | None = None,
+) -> None:
+    """Replace a partitioned table's content without ever taking the table away.
+
+    New partitions are written aside and swapped in when the job commits; partitions
+    that ``df`` no longer has are dropped after that. A job that dies leaves the old
+    rows. A changed schema, or a first run, creates the table instead.
+    """
+    spark = df.sparkSession
+    if schema is not None:
+        df = to_schema(df, schema)
+
+    def shape(fields) -> set:
+        return {(f.name, f.dataType) for f in fields}
+
+    if not spark.catalog.tableExists(table) or shape(spark.table(table).schema) != shape(df.schema):
+        write_table(df, table, [partition_by], cluster_by=cluster_by)
+        return
+    value = F.col(partition_by).cast("string")
+    # One value per partition, so this is as short as the partition list.
+    fresh = {r[0] for r in df.select(value).distinct().collect()}
+    replace_partitions(df, table, [partition_by], cluster_by)
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        name = row[0].split("=", 1)[1]
+        if name not in fresh and name != "__HIVE_DEFAULT_PARTITION__":
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = '{name}')")
+
+
 def insert_overwrite(df: DataFrame, table: str) -> None:
     """Replace all rows of an existing table; its declared schema stays."""
     existing = df.sparkSession.table(table).schema

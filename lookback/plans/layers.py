@@ -26,6 +26,7 @@ from lookback.operators.publish import (
     append,
     create_table,
     replace_partitions,
+    replace_table,
     staged,
     write_table,
 )
@@ -116,7 +117,7 @@ def _conform(
     if quarantine:
         append(quarantined(typed, expectations, run.checked_at), cfg.m(f"{table}_quarantine"))
     rows = distinct_on(valid, key) if key else valid
-    write_table(rows, cfg.s(table), partition_by=["day"], cluster_by=schemas.ENTITY)
+    replace_table(rows, cfg.s(table), "day", schemas.ENTITY)
 
 
 def run_conform(
@@ -184,9 +185,7 @@ def run_features(
         create_table(spark, cfg.features, schemas.FEATURES, ["day"])
         replace_partitions(valid, cfg.features, ["day"], schemas.ENTITY)
     else:
-        write_table(
-            valid, cfg.features, ["day"], cluster_by=schemas.ENTITY, schema=schemas.FEATURES
-        )
+        replace_table(valid, cfg.features, "day", schemas.ENTITY, schemas.FEATURES)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
 
 

@@ -18,6 +18,7 @@ from lookback.operators.publish import (
     load,
     load_merged,
     replace_partitions,
+    replace_table,
     snapshot_diff,
     to_schema,
     write_table,
@@ -56,6 +57,34 @@ def test_rerun_into_a_catalog_table(spark):
     assert content(spark.table("pub.t")) == want
 
 
+def test_replaced_table_loses_the_days_that_are_gone(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS pub")
+    first = pays(spark, [(D1, 1, "point", 1.0), (D2, 1, "point", 2.0)])
+    replace_table(first, "pub.whole", "day", ["user_id"])
+    assert content(spark.table("pub.whole")) == content(first)
+    second = pays(spark, [(D2, 2, "point", 3.0)])
+    for _ in range(2):
+        replace_table(second, "pub.whole", "day", ["user_id"])
+        assert content(spark.table("pub.whole")) == content(second)
+    replace_table(second.limit(0), "pub.whole", "day")
+    assert spark.table("pub.whole").count() == 0
+    wider = second.withColumn("currency", F.lit("EUR"))
+    replace_table(wider, "pub.whole", "day")
+    assert content(spark.table("pub.whole")) == content(wider)
+
+
+def test_failed_replacement_keeps_the_old_rows(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS pub")
+    first = pays(spark, [(D1, 1, "point", 1.0)])
+    replace_table(first, "pub.kept", "day")
+    broken = first.withColumn(
+        "total", F.when(F.col("user_id") == 1, F.raise_error(F.lit("lost"))).otherwise(1.0)
+    )
+    with pytest.raises(Exception, match="lost"):
+        replace_table(broken, "pub.kept", "day")
+    assert content(spark.table("pub.kept")) == content(first)
+
+
 def test_clustered_write_keeps_the_bag_and_splits_a_hot_key(spark):
     hot = spark.range(3000).select(
         F.lit(D1).alias("day"),

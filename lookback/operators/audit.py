@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback.operators.expectations import DataQualityError
@@ -37,6 +37,24 @@ def dq_latest(audit: DataFrame) -> DataFrame:
     )
 
 
+def create_latest_view(spark: SparkSession, audit_table: str, view: str) -> None:
+    """``dq_latest`` as a persistent view, for dashboards and alerts that speak SQL."""
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {view} AS
+        SELECT layer, table_name, expectation, r.action, r.total_rows, r.failed_rows,
+          round(r.failure_rate * 100, 2) AS failure_pct, r.passed, r.checked_at
+        FROM (
+          SELECT layer, table_name, expectation,
+            max_by(
+              struct(action, total_rows, failed_rows, failure_rate, passed, checked_at),
+              struct(checked_at, run_id)
+            ) AS r
+          FROM {audit_table}
+          GROUP BY layer, table_name, expectation
+        )
+    """)
+
+
 def latest_report(audit: DataFrame) -> DataFrame:
     return latest_rows(audit).orderBy(*RULE_KEY)
 

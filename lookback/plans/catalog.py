@@ -443,6 +443,19 @@ def dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(audit.dq_latest(_history(spark, sf_dir)))
 
 
+@query
+def dq_latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persistent view over a logged history, asked in SQL."""
+    schema = f"mon_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, 'monitoring')}'")
+    publish.append(_history(spark, sf_dir), f"{schema}.dq_results")
+    audit.create_latest_view(spark, f"{schema}.dq_results", f"{schema}.dq_latest")
+    return spark.sql(f"""
+        SELECT table_name, expectation, action, failed_rows, failure_pct
+        FROM {schema}.dq_latest WHERE NOT passed OR action = 'fail'
+    """)
+
+
 @query
 def dq_latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(audit.latest_report(_history(spark, sf_dir))).drop("constraint")

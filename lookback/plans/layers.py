@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lookback import schemas
 from lookback.config import PipelineConfig
-from lookback.operators.audit import dq_latest
+from lookback.operators.audit import create_latest_view
 from lookback.operators.conform import distinct_on, flatten_events, flatten_payments
 from lookback.operators.expectations import (
     Expectation,
@@ -115,7 +115,9 @@ def _conform(
         run.checked_at,
     )
     if quarantine:
-        append(quarantined(typed, expectations, run.checked_at), cfg.m(f"{table}_quarantine"))
+        rejected = quarantined(typed, expectations, run.checked_at)
+        # Few rows out of many tasks: merged, or each task would leave a tiny file.
+        append(rejected.hint("rebalance"), cfg.m(f"{table}_quarantine"))
     rows = distinct_on(valid, key) if key else valid
     replace_table(rows, cfg.s(table), "day", schemas.ENTITY)
 
@@ -193,7 +195,7 @@ def run_maintenance(spark: SparkSession, cfg: PipelineConfig) -> None:
     """Column statistics for the optimizer, and the monitoring view."""
     for table in (cfg.s("prints"), cfg.s("taps"), cfg.s("pays"), cfg.features):
         analyze(spark, table)
-    dq_latest(spark.table(cfg.audit_table)).createOrReplaceTempView("dq_latest")
+    create_latest_view(spark, cfg.audit_table, cfg.m("dq_latest"))
 
 
 def run(

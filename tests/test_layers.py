@@ -7,6 +7,7 @@ import os
 import pytest
 
 from lookback import DataQualityError, PipelineConfig, run, schemas
+from lookback.operators.audit import dq_latest
 from lookback.plans.layers import Run, run_conform, run_features, run_ingest, run_maintenance
 
 D = dt.date(2020, 11, 30)
@@ -79,7 +80,9 @@ def test_files_to_features(spark, cfg):
     assert not spark.catalog.tableExists(f"{cfg.features}_staging")
 
     run_maintenance(spark, cfg)
-    assert spark.table("dq_latest").count() == len(rows)
+    view = spark.table(cfg.m("dq_latest"))
+    assert sorted(view.collect()) == sorted(dq_latest(audit).collect())
+    assert view.count() == len(rows)
 
 
 def test_rerun_gives_the_same_tables(spark, cfg):

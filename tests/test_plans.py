@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from lookback import compute_features, schemas
+from lookback.operators.conform import distinct_on
 from lookback.session import setting
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -105,6 +106,12 @@ def test_distinct_prints_saves_a_shuffle(spark, no_broadcast):
     assert counts == [5, 4]
 
 
+def test_days_of_a_set_need_no_deduplication(spark):
+    rows = spark.createDataFrame([], schemas.EVENTS)
+    days = distinct_on(rows, schemas.EVENT_KEY).select("day").distinct()
+    assert plan_of(days).count("Exchange") == 1
+
+
 def test_snapshot_diff_is_an_equality_join(spark, no_broadcast):
     plan = plan_of(QUERIES["feature_snapshot_diff"](spark, SF_DIR))
     assert "FullOuter" in plan and not re.search("NestedLoop|Cartesian", plan)

@@ -93,3 +93,13 @@ def test_scratch_lies_under_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one.startswith(root) and one != two
+
+
+def test_cluster_session_without_a_shared_folder_is_refused():
+    class Session:
+        conf = {"spark.master": "yarn"}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+    Session.conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert scratch_dir(Session(), "x").startswith("hdfs://shared/x-")

@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from lookback.__main__ import main
 from lookback import DataQualityError, PipelineConfig, run, schemas
 from lookback.operators.audit import dq_latest
 from lookback.plans.layers import Run, run_conform, run_features, run_ingest, run_maintenance
@@ -157,3 +158,15 @@ def test_settings(cfg):
         cfg.with_overrides({"landings": "/x"})
     with pytest.raises(ValueError):
         PipelineConfig(serving_window_days=0)
+
+
+def test_command_line_runs_all_steps(spark, cfg, capsys):
+    land(cfg, PRINTS, TAPS, PAYS)
+    names = ("bronze_schema", "silver_schema", "gold_schema", "monitoring_schema")
+    options = [f"--set={n}={getattr(cfg, n)}" for n in (*names, "warehouse", "landing")]
+    main(["all", "--set=as_of=2020-12-01", "--set=amount_scale=2", "--quarantine", *options])
+    assert "rows: 2" in capsys.readouterr().out
+    assert feature_rows(spark, cfg)[(D, 1)] == (1, 1, 2, 20.0)
+    assert spark.table(cfg.m("dq_latest")).where("expectation = 'day_not_future'").count() == 2
+    with pytest.raises(SystemExit):
+        main(["deploy"])

@@ -25,6 +25,7 @@ HEADLINE = [
     "pit_orders_90d",
     "pit_orders_90d_binned",
     "pit_foreign_spine",
+    "pit_event_log",
     "event_daily_rollup",
     "conform_dedup_set",
     "label_lookup",

@@ -203,6 +203,10 @@ def pit_features(
         events = events.where(
             days_between("ev_day", first - dt.timedelta(days=lookback), last)
         )
+    if form != "window" or not spine_in_events:
+        # Other types matter only where they are what brings in the spine's days.
+        used = {m.event_type for m in (*metrics, *labels)}
+        events = events.where(F.col("etype").isin(sorted(used)))
     columns = spine.columns
     spine_days = spine.select(*keys, F.col(day).alias("ev_day"))
 

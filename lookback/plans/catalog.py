@@ -9,9 +9,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lookback import schemas
 from lookback.config import PipelineConfig
+from lookback.functions.predicates import days_between
 from lookback.functions.scalar import from_units, safe_ratio, to_day, to_type, to_units
 from lookback.operators import audit, conform, publish, training
 from lookback.operators.bandjoin import band_join
@@ -35,7 +37,6 @@ from lookback.operators.pit import (
     serving_days,
     typed_events,
 )
-from lookback.functions.predicates import days_between
 from lookback.plans import bindings as b
 from lookback.plans import layers, rules
 from lookback.plans.features import (
@@ -84,7 +85,7 @@ def ingest_csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared columns stand in another order in the file."""
     folder = scratch_dir(spark, "pays.csv")
     b.land_payments(b.typed(spark, sf_dir, b.PURCHASE), folder, broken=True)
-    turned = schemas.PAYMENT_LANDING.__class__(schemas.PAYMENT_LANDING.fields[::-1])
+    turned = StructType(schemas.PAYMENT_LANDING.fields[::-1])
     return read_csv(spark, folder, turned, by_name=True)
 
 
@@ -306,6 +307,28 @@ def pit_foreign_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def pit_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log of all event types, read once for the history: each purchase with what
+    its user did in the week before."""
+    log = b.table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "to_date(ts) AS ev_day", "event_type AS etype", "value AS amount"
+    )
+    return pit_features(
+        log.where(F.col("etype") == b.PURCHASE).select(
+            "event_id", "user_id", F.col("ev_day").alias("day")
+        ),
+        log.drop("event_id"),
+        keys=["user_id"],
+        metrics=[
+            *[Metric(f"{t}s_7d", t) for t in (b.VIEW, b.CLICK, b.PURCHASE, "error", "signup")],
+            Metric("spent_7d", b.PURCHASE, total=True, scale=SCALE),
+        ],
+        lookback=7,
+        spine_in_events=True,
+    )
+
+
 @query
 def band_join_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interval join without equality keys: each day with the days before it."""

@@ -246,6 +246,18 @@ SELECT t.day, t.user_id, t.value_prop, t.position, CAST(count(p.day) AS BIGINT)
 FROM taps t LEFT JOIN pays p ON p.user_id = t.user_id AND p.value_prop = t.value_prop
   AND p.day BETWEEN t.day - 7 AND t.day - 1
 GROUP BY t.day, t.user_id, t.value_prop, t.position""",
+    "pit_event_log": f"""WITH {_TYPED}, ids AS (
+  SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase'
+)
+SELECT s.event_id, s.user_id, s.day,
+  {', '.join(
+    f"CAST(coalesce(sum(CASE WHEN e.event_type = '{t}' THEN 1 END), 0) AS BIGINT) AS {t}s_7d"
+    for t in ('view', 'click', 'purchase', 'error', 'signup')
+  )},
+  coalesce(CAST(sum(CASE WHEN e.event_type = 'purchase' THEN CAST(round(e.value * 100) AS BIGINT)
+    END) AS DOUBLE) / 100, 0.0) AS spent_7d
+FROM ids s LEFT JOIN ev e ON e.user_id = s.user_id AND e.day BETWEEN s.day - 7 AND s.day - 1
+GROUP BY s.event_id, s.user_id, s.day""",
     "band_join_keyless": f"""WITH {_TABLES}, u AS ({_UNION}),
 daily AS (SELECT ev_day, sum(CASE WHEN etype = 'print' THEN 1 ELSE 0 END) AS views,
   sum(CASE WHEN etype = 'tap' THEN 1 ELSE 0 END) AS taps FROM u GROUP BY ev_day)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from lookback import compute_features, schemas
 from lookback.operators.conform import distinct_on
+from lookback.operators.pit import Metric, pit_features
+from lookback.plans.features import event_stream
 from lookback.session import setting
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -95,6 +97,19 @@ def test_hot_spine_day_is_split(spark, no_broadcast):
         assert "SortMergeJoin(skew=true)" in plan_of(df)
 
 
+def test_event_types_without_a_metric_are_not_read(spark):
+    prints, taps, pays = (spark.range(5).selectExpr(
+        "date'2024-01-01' AS day", "id AS user_id", "'p' AS value_prop", "id % 3 AS total"
+    ) for _ in range(3))
+    df = pit_features(
+        prints.drop("total"),
+        event_stream(prints, taps, pays),
+        schemas.ENTITY,
+        [Metric("pays", "pay")],
+    )
+    assert plan_of(df).count("Range (") == 3  # spine twice, payments once
+
+
 def test_distinct_prints_saves_a_shuffle(spark, no_broadcast):
     d = spark.createDataFrame([], schemas.EVENTS)
     pays = spark.createDataFrame([], schemas.PAYMENTS)

@@ -15,10 +15,13 @@ def flag_if_present(df: DataFrame, other: DataFrame, on: Sequence[str], name: st
 
     The lookup is distinct, so the join adds no rows. No broadcast hint: the lookup
     grows with the data, and AQE broadcasts it only when its measured size allows.
+    The keys are made distinct as one struct, whose partitioning the join cannot take
+    over: both its sides then sit on a shuffle, where AQE can split a hot key of ``df``.
     """
-    keys = other.select(*on).distinct().withColumn(name, F.lit(1))
+    keys = other.select(F.struct(*on).alias("_key")).distinct()
+    flags = keys.select("_key.*").withColumn(name, F.lit(1))
     return (
-        df.join(keys, on=list(on), how="left")
+        df.join(flags, on=list(on), how="left")
         .withColumn(name, zero_if_null(name))
         .select(*df.columns, name)
     )

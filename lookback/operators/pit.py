@@ -167,10 +167,16 @@ def _rolled_by_join(
     pairs = band_join(left, right, "_lo", "_hi", "_ev", keys=keys, bin_width=bin_days)
     past = F.col("_ev") <= F.col("_at") - gap
     today = F.col("_ev") == F.col("_at")
-    return pairs.groupBy(*keys, "ev_day").agg(
+    sums = [
         *[F.sum(F.when(past, F.col(m.name))).alias(m.name) for m in metrics],
         *[F.max(F.when(today, F.col(x.name))).alias(x.name) for x in labels],
-    )
+    ]
+    if bin_days is None:
+        return pairs.groupBy(*keys, "ev_day").agg(*sums)
+    # Grouped as one struct: otherwise the lookup of the spine would take over this
+    # partitioning and no longer sit on a shuffle of its own.
+    key = F.struct(*keys, "ev_day").alias("_key")
+    return pairs.groupBy(key).agg(*sums).select("_key.*", *[m.name for m in (*metrics, *labels)])
 
 
 def pit_features(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from lookback import compute_features, schemas
 from lookback.operators.conform import distinct_on
-from lookback.operators.pit import Metric, pit_features
+from lookback.operators.lookup import flag_if_present, lookup_features
+from lookback.operators.pit import FORMS, Metric, pit_features
 from lookback.plans.features import event_stream
 from lookback.session import setting
 
@@ -72,15 +73,19 @@ def test_join_sides_sit_on_shuffles_so_that_skew_can_be_split(spark, no_broadcas
     assert all("Exchange hashpartitioning" in lines[i + 1] for i in sides)
 
 
-def test_hot_spine_day_is_split(spark, no_broadcast):
-    """One entity and day with thousands of positions holds most of the spine."""
-    day = F.lit("2024-01-30").cast("date")
-    hot = spark.range(0, 60000, 1, 8).select(
-        day.alias("day"),
-        F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("user_id"),
-        F.lit("point").alias("value_prop"),
-        F.col("id").cast("int").alias("position"),
+@pytest.fixture
+def hot(spark):
+    """One entity and day with thousands of positions holds most of the impressions."""
+    return spark.range(0, 60000, 1, 8).selectExpr(
+        "if(id % 3 > 0 OR id % 2 = 0, date'2024-01-30', date'2024-01-29') AS day",
+        "if(id % 3 > 0, 1, id + 2) AS user_id",
+        "if(id % 3 > 0 OR id % 4 < 2, 'point', 'prepaid') AS value_prop",
+        "CAST(id AS INT) AS position",
     )
+
+
+@pytest.fixture
+def small_skew(spark):
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
@@ -91,10 +96,29 @@ def test_hot_spine_day_is_split(spark, no_broadcast):
     with ExitStack() as stack:
         for key, value in small.items():
             stack.enter_context(setting(spark, key, value))
-        pays = hot.withColumn("total", F.lit(1.0)).drop("position")
-        df = compute_features(hot, hot.limit(0), pays)
-        assert len(df.collect()) == 60000
-        assert "SortMergeJoin(skew=true)" in plan_of(df)
+        yield
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_hot_spine_day_is_split(spark, no_broadcast, small_skew, hot, form):
+    pays = hot.withColumn("total", F.lit(1.0)).drop("position")
+    df = compute_features(hot, hot.limit(0), pays, form=form)
+    assert len(df.collect()) == 60000
+    assert "SortMergeJoin(skew=true)" in plan_of(df)
+
+
+def test_hot_key_of_a_flag_lookup_is_split(spark, no_broadcast, small_skew, hot):
+    df = flag_if_present(hot, hot.where("user_id = 1"), ["day", "user_id", "value_prop"], "seen")
+    assert sum(r.seen for r in df.collect()) == 40000
+    assert "SortMergeJoin(skew=true)" in plan_of(df)
+
+
+def test_hot_key_of_a_feature_lookup_is_split(spark, no_broadcast, small_skew, hot):
+    key = ["day", "user_id", "value_prop"]
+    features = hot.select(*key).distinct().withColumn("views_3w", F.lit(2))
+    df = lookup_features(hot, features.repartition(8), key, ["views_3w"])
+    assert len(df.collect()) == 60000
+    assert "SortMergeJoin(skew=true)" in plan_of(df)
 
 
 def test_event_types_without_a_metric_are_not_read(spark):

@@ -27,10 +27,16 @@ def not_null(columns: Iterable[str]) -> Column:
     return all_of(F.col(c).isNotNull() for c in columns)
 
 
+def sql_text(value: str | None) -> str:
+    """A string or NULL as a SQL literal."""
+    if value is None:
+        return "null"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def in_set(column: str, values: Iterable[str]) -> str:
     """SQL text of a membership test."""
-    quoted = ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
-    return f"{column} IN ({quoted})"
+    return f"{column} IN ({', '.join(map(sql_text, values))})"
 
 
 def days_between(column: str, lo: dt.date | None, hi: dt.date | None) -> Column:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lookback.functions.predicates import sql_text
 from lookback.session import setting
 from lookback.sources.files import is_path, load
 
@@ -109,9 +111,12 @@ def replace_table(
     fresh = {r[0] for r in df.select(value).distinct().collect()}
     replace_partitions(df, table, [partition_by], cluster_by)
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        name = row[0].split("=", 1)[1]
-        if name not in fresh and name != "__HIVE_DEFAULT_PARTITION__":
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = '{name}')")
+        name = unquote(row[0].split("=", 1)[1])
+        old = None if name == "__HIVE_DEFAULT_PARTITION__" else name
+        if old not in fresh:
+            spark.sql(
+                f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {sql_text(old)})"
+            )
 
 
 def insert_overwrite(df: DataFrame, table: str) -> None:

@@ -73,6 +73,22 @@ def test_replaced_table_loses_the_days_that_are_gone(spark):
     assert content(spark.table("pub.whole")) == content(wider)
 
 
+def test_replaced_table_loses_odd_partitions_too(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS pub")
+    odd = [None, "a/b", "o'x", "50%", "back\\slash", "plain"]
+    kind = "v int, p string"
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(odd)], kind)
+    replace_table(rows, "pub.odd", "p")
+    replace_table(rows, "pub.odd", "p")
+    assert content(spark.table("pub.odd")) == content(rows)
+    for keep in ("a/b", "o'x"):
+        replace_table(rows.where(F.col("p") == keep), "pub.odd", "p")
+        assert [r.p for r in spark.table("pub.odd").collect()] == [keep]
+        replace_table(rows, "pub.odd", "p")
+    replace_table(rows.where("p IS NULL"), "pub.odd", "p")
+    assert [r.p for r in spark.table("pub.odd").collect()] == [None]
+
+
 def test_failed_replacement_keeps_the_old_rows(spark):
     spark.sql("CREATE SCHEMA IF NOT EXISTS pub")
     first = pays(spark, [(D1, 1, "point", 1.0)])

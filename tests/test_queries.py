@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from lookback.plans.catalog import QUERIES
+from lookback.plans.oracles import ORACLES
 from oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,11 @@ def con():
     return connect(SF_DIR)
 
 
+def test_contract_serves_the_catalog():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
+
+
 def test_every_sql_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"click_model_scores"}

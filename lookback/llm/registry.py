@@ -6,14 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lookback.llm.common import table
 from lookback.llm.simhash import simhash_groups
+from lookback.llm.warc import archived_pages
 
 
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
+    "op9_warc_captures": op9_warc_captures,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_warc_captures": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+        ), w AS (
+            SELECT *, min(page_id) OVER (PARTITION BY html) AS first,
+                   row_number() OVER (PARTITION BY html ORDER BY page_id) AS n
+            FROM p
+        )
+        SELECT page_id, strlen(html) AS payload_bytes,
+               translate(
+                   list_aggregate([to_base(('0x' || hex[1 + 5 * i : 5 + 5 * i])::BIGINT, 32, 4)
+                                   FOR i IN range(8)], 'string_agg', ''),
+                   '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+               ) AS payload_digest,
+               CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN n > 1 THEN first END AS refers_to
+        FROM w
+    """,
+}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lookback.llm.common import table
+from lookback.llm.quality import judge, train
 from lookback.llm.simhash import simhash_groups
 from lookback.llm.warc import archived_pages
 
@@ -13,12 +15,20 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    judged = judge(docs, model, host=F.col("source"), path=F.col("lang"))
+    return judged.select("doc_id", "doc_score", "site_score", "quality", "kept")
+
+
 def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_warc_captures": op9_warc_captures,
 }
 

@@ -2,19 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback.llm.common import table
+from lookback.llm.mixing import mix
 from lookback.llm.quality import judge, train
 from lookback.llm.simhash import simhash_groups
 from lookback.llm.warc import archived_pages
 
+#: Production weights of the mix; values not named weigh 1.
+MIX_WEIGHTS = {"domain": {"d1": 2.0, "d2": 3.0}, "lang": {"en": 4.0, "de": 2.0}}
+
+
+def mix_levels() -> dict[str, Column]:
+    """Domain (numbered sources fall into four), language, source."""
+    number = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
+    domain = F.concat(F.lit("d"), F.pmod(number, F.lit(4)).cast("string"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
 
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix(docs, levels=mix_levels(), weights=MIX_WEIGHTS, share=0.6, max_epochs=4)
+    return mixed.select(
+        "doc_id",
+        F.col("lb_domain").alias("domain"),
+        "lang",
+        "source",
+        F.col("lb_tokens").alias("tokens"),
+        F.col("lb_epochs").alias("epochs"),
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
@@ -28,11 +52,62 @@ def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
+    "op6_source_mix": op6_source_mix,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_warc_captures": op9_warc_captures,
 }
 
+def _level_sql(n: int, path: str, above: str, weight: str) -> str:
+    """One level of the budget tree: children fill up in the order of capacity per weight."""
+    group = f"PARTITION BY {above}" if above else ""
+    parent = f"JOIN g{n - 1} ON (n.{above.replace(', ', ', n.')}) IS NOT DISTINCT FROM (g{n - 1}.{above.replace(', ', f', g{n - 1}.')})"
+    return f"""
+        n{n} AS (
+            SELECT {path}, sum(tokens * 4)::DOUBLE AS cap, {weight} AS w FROM leaf GROUP BY {path}
+        ), b{n} AS (
+            SELECT n.*, {f"g{n - 1}.given" if above else "0.6 * (SELECT sum(tokens) FROM leaf)"} AS b
+            FROM n{n} n {parent if above else ""}
+        ), l{n} AS (
+            SELECT *, b - coalesce(sum(cap) OVER before, 0) AS rest,
+                   sum(w) OVER ({group}) - coalesce(sum(w) OVER before, 0) AS free
+            FROM b{n}
+            WINDOW before AS ({group} ORDER BY cap / w, {path.split(", ")[-1]}
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), g{n} AS (
+            SELECT {path}, cap, coalesce(least(cap, w * max(CASE WHEN cap * free > w * rest
+                   THEN rest / free END) OVER ({group})), cap) AS given
+            FROM l{n}
+        )"""
+
+
 ORACLES: dict[str, str] = {
+    "op6_source_mix": f"""
+        WITH d AS (
+            SELECT doc_id, lang, source, coalesce(doc_id::VARCHAR, '') AS key,
+                   'd' || (regexp_extract(source, '(\\d+)$', 1)::INT % 4) AS domain,
+                   len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                                   lambda x: x <> '')) AS tokens
+            FROM documents
+        ), leaf AS (
+            SELECT domain, lang, source, sum(tokens) AS tokens FROM d GROUP BY ALL
+        ), {_level_sql(1, "domain", "", "CASE domain WHEN 'd1' THEN 2.0 WHEN 'd2' THEN 3.0 ELSE 1.0 END::DOUBLE")},
+        {_level_sql(2, "domain, lang", "domain", "CASE lang WHEN 'en' THEN 4.0 WHEN 'de' THEN 2.0 ELSE 1.0 END::DOUBLE")},
+        {_level_sql(3, "domain, lang, source", "domain, lang", "1::DOUBLE")},
+        p AS (
+            SELECT d.*, floor(g3.given)::BIGINT AS budget, leaf.tokens AS leaf_tokens,
+                   CASE WHEN leaf.tokens > 0 THEN floor(g3.given)::BIGINT // leaf.tokens ELSE 4 END AS e
+            FROM d JOIN leaf USING (domain, lang, source) JOIN g3 USING (domain, lang, source)
+        ), o AS (
+            SELECT *, sum(tokens) OVER (
+                PARTITION BY domain, lang, source
+                ORDER BY ('0x' || md5('42:' || e || ':' || key)[1:15])::BIGINT, key
+            ) AS upto FROM p
+        )
+        SELECT doc_id, domain, lang, source, tokens,
+               (e + CASE WHEN budget - e * leaf_tokens > 0 AND upto <= budget - e * leaf_tokens
+                    THEN 1 ELSE 0 END)::INT AS epochs
+        FROM o WHERE epochs > 0
+    """,
     "op9_warc_captures": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages

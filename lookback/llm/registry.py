@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback.llm.common import table
+from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
 from lookback.llm.quality import judge, train
 from lookback.llm.simhash import simhash_groups
@@ -26,6 +27,16 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"), min_words=50)
+    return cleaned.select(
+        "doc_id",
+        "text",
+        F.col("lb_lines").alias("n_lines"),
+        F.col("lb_deleted").alias("n_deleted"),
+    )
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mix(docs, levels=mix_levels(), weights=MIX_WEIGHTS, share=0.6, max_epochs=4)
@@ -52,6 +63,7 @@ def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
+    "op5_line_dedup": op5_line_dedup,
     "op6_source_mix": op6_source_mix,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_warc_captures": op9_warc_captures,

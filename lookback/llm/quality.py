@@ -55,6 +55,19 @@ def grams(text: bytes) -> np.ndarray:
     return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
 
 
+def _table(chosen: np.ndarray) -> np.ndarray:
+    """1 + the place of a gram among the chosen ones, 0 for the others."""
+    table = np.zeros(1 << BITS, np.int32)
+    table[chosen] = np.arange(1, len(chosen) + 1)
+    return table
+
+
+def _present(held: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Places of the chosen grams that occur."""
+    at = table[held]
+    return np.unique(at[at > 0]) - 1
+
+
 @dataclass
 class Logistic:
     """Weights of the shape features and of chosen grams for one label."""
@@ -64,16 +77,8 @@ class Logistic:
     weights: np.ndarray
     bias: float
 
-    def table(self) -> np.ndarray:
-        """1 + the place of a gram among the chosen ones, 0 for the others."""
-        table = np.zeros(1 << BITS, np.int32)
-        table[self.chosen] = np.arange(1, len(self.chosen) + 1)
-        return table
-
     def logit(self, x: np.ndarray, held: np.ndarray, table: np.ndarray) -> float:
-        at = table[held]
-        hits = np.unique(at[at > 0]) - 1
-        return float(self.bias + x @ self.dense + self.weights[hits].sum())
+        return float(self.bias + x @ self.dense + self.weights[_present(held, table)].sum())
 
 
 @dataclass
@@ -129,8 +134,8 @@ def train(
     null, or whose text has no word, are left out; of labels that contradict each other
     the worse one holds. ``n_grams`` byte grams are chosen by how strongly their presence
     tells the classes apart. A label without both classes rejects nothing. The
-    sample of ids is broadcast and its features meet on the driver: both are bounded by
-    ``max_rows``.
+    sample of ids is broadcast and its few features meet on the driver: both are bounded
+    by ``max_rows``.
     """
     chosen = (
         labels.groupBy(F.col(id_col).alias("lb_id"))
@@ -140,66 +145,92 @@ def train(
         .limit(max_rows)
     )
 
-    def features(batches):
-        for batch in batches:
-            dense, held, poor, toxic = [], [], [], []
-            for text, *bad in zip(*batch.columns, strict=True):
-                raw = text.as_py() or b""
-                words = raw.lower().split()
-                if words:
-                    dense.append(shape(raw, words, len(set(words))))
-                    held.append(np.unique(grams(b" " + b" ".join(words) + b" ")))
-                    poor.append(bad[0].as_py())
-                    toxic.append(bad[1].as_py())
-            arrays = [
-                pa.array(dense, pa.list_(pa.float64())),
-                pa.array(held, pa.list_(pa.int32())),
-                pa.array(poor, pa.int32()),
-                pa.array(toxic, pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["dense", "grams", "poor", "toxic"])
-
-    sample = (
+    sample = staged(
         docs.select(F.col(text_col).cast("binary").alias("text"), F.col(id_col).alias("lb_id"))
         .join(F.broadcast(chosen), "lb_id")
-        .select("text", "poor", "toxic")
-        .mapInArrow(features, "dense array<double>, grams array<int>, poor int, toxic int")
-        .toArrow()
+        .select("text", "poor", "toxic"),
+        "quality-sample",
     )
-    if not len(sample):
+    best = {name: _telling_grams(sample, name, n_grams) for name in ("poor", "toxic")}
+    tables = [_table(grams) for grams in best.values()]
+
+    def features(batches):
+        for batch in batches:
+            rows = []
+            for text, poor, toxic in zip(*batch.columns, strict=True):
+                words = (text.as_py() or b"").lower().split()
+                if words:
+                    raw = grams(b" " + b" ".join(words) + b" ")
+                    rows.append(
+                        {
+                            "dense": shape(text.as_py(), words, len(set(words))),
+                            "of_poor": _present(raw, tables[0]),
+                            "of_toxic": _present(raw, tables[1]),
+                            "poor": poor.as_py(),
+                            "toxic": toxic.as_py(),
+                        }
+                    )
+            places = pa.list_(pa.int32())
+            kinds = [("dense", pa.list_(pa.float64())), ("of_poor", places), ("of_toxic", places)]
+            schema = pa.schema([*kinds, ("poor", pa.int32()), ("toxic", pa.int32())])
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    held = sample.mapInArrow(
+        features,
+        "dense array<double>, of_poor array<int>, of_toxic array<int>, poor int, toxic int",
+    ).toArrow()
+    if not len(held):
         return Model(np.zeros(8), np.ones(8), [])
-    x = np.array(sample["dense"].to_pylist())
+    x = np.array(held["dense"].to_pylist())
     mean, scale = x.mean(0), x.std(0) + 1e-9
     x = np.clip((x - mean) / scale, -8, 8)
-    held = sample["grams"].combine_chunks()
-    flat, sizes = held.values.to_numpy(), np.diff(held.offsets.to_numpy())
-    parts = [
-        _part(x, flat, sizes, sample[name].to_numpy() > 0, n_grams) for name in ("poor", "toxic")
-    ]
-    return Model(mean, scale, [p for p in parts if p is not None])
-
-
-def _part(
-    x: np.ndarray, flat: np.ndarray, sizes: np.ndarray, bad: np.ndarray, n_grams: int
-) -> Logistic | None:
-    """Regression for one label over the shape and the grams that tell its classes apart."""
-    if bad.all() or not bad.any():
-        return None
-    row = np.repeat(np.arange(len(bad)), sizes)
-    of_bad = np.bincount(flat[bad[row]], minlength=1 << BITS)
-    total = np.bincount(flat, minlength=1 << BITS)
-    share = total / len(bad)
-    gap = np.abs(of_bad / bad.sum() - (total - of_bad) / (~bad).sum())
-    strength = np.where(total >= 5, gap / np.sqrt(share * (1 - share) + 1e-6), 0)
-    best = np.argsort(-strength, kind="stable")[:n_grams]
-    place = np.full(1 << BITS, -1)
-    place[best] = np.arange(len(best))
-    hit = place[flat] >= 0
-    present = np.zeros((len(bad), len(best)))
-    present[row[hit], place[flat[hit]]] = 1
-    w = _fitted(np.hstack([x, present]), bad.astype(float), ridge=1.0)
-    dense = x.shape[1]
-    return Logistic(w[:dense], best, w[dense:-1], float(w[-1]))
+    parts = []
+    for name, chosen_grams in best.items():
+        bad = held[name].to_numpy() > 0
+        if bad.any() and not bad.all():
+            present = np.zeros((len(bad), len(chosen_grams)))
+            for row, hits in zip(present, held[f"of_{name}"].to_pylist(), strict=True):
+                row[hits] = 1
+            w = _fitted(np.hstack([x, present]), bad.astype(float), ridge=1.0)
+            size = x.shape[1]
+            parts.append(Logistic(w[:size], chosen_grams, w[size:-1], float(w[-1])))
+    return Model(mean, scale, parts)
+
+
+def _telling_grams(sample: DataFrame, label: str, n: int) -> np.ndarray:
+    """The ``n`` grams whose presence differs most between the two classes of a label."""
+
+    def counts(batches):
+        for batch in batches:
+            held, bad = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for text, mark in zip(*batch.columns, strict=True):
+                words = (text.as_py() or b"").lower().split()
+                if words:
+                    own = np.unique(grams(b" " + b" ".join(words) + b" "))
+                    held.append(own)
+                    if mark.as_py():
+                        bad.append(own)
+            gram, n = np.unique(np.concatenate(held), return_counts=True)
+            of_bad = np.bincount(np.searchsorted(gram, np.concatenate(bad)), minlength=len(gram))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram), pa.array(n), pa.array(of_bad.astype(np.int64))],
+                names=["gram", "n", "bad"],
+            )
+
+    size = sample.agg(F.count("*").alias("n"), F.sum(label).alias("bad")).first()
+    if not size["bad"] or size["bad"] == size["n"]:
+        return np.empty(0, np.int64)
+    totals = (
+        sample.select("text", label)
+        .mapInArrow(counts, "gram long, n long, bad long")
+        .groupBy("gram")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    )
+    share = F.col("n") / size["n"]
+    gap = F.abs(F.col("bad") / size["bad"] - (F.col("n") - F.col("bad")) / (size["n"] - size["bad"]))
+    strength = gap / F.sqrt(share * (1 - share) + 1e-6)
+    top = totals.where("n >= 5").orderBy(strength.desc(), "gram").limit(n).select("gram")
+    return np.array([r["gram"] for r in top.collect()], np.int64)
 
 
 def classifier_score(model: Model, text: Column) -> Column:
@@ -207,7 +238,7 @@ def classifier_score(model: Model, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        tables = [part.table() for part in model.parts]
+        tables = [_table(part.chosen) for part in model.parts]
         return pa.array([model.score(t.as_py(), tables) for t in texts], pa.float64())
 
     return score(text.cast("binary"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback.llm.common import table
 from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
+from lookback.llm.pieces import Vocabulary, decoded, encoded
 from lookback.llm.quality import judge, train
 from lookback.llm.simhash import simhash_groups
 from lookback.llm.warc import archived_pages
@@ -50,6 +53,25 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model_path() -> str:
+    """Place of the public piece vocabulary; ``LOOKBACK_PIECE_MODEL`` overrides it."""
+    return os.environ.get("LOOKBACK_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op7_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = Vocabulary.load(piece_model_path())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.withColumn("e", encoded(vocab, F.col("text"), n_best=4))
+    return coded.select(
+        "doc_id",
+        F.col("e.ids").alias("ids"),
+        F.coalesce(F.array_size("e.ids").cast("long"), F.lit(0)).alias("n_pieces"),
+        F.col("e.score").alias("score"),
+        F.col("e.alternatives").alias("alternatives"),
+        decoded(vocab, F.col("e.ids")).eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
@@ -65,6 +87,7 @@ QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mix": op6_source_mix,
+    "op7_nbest_pieces": op7_nbest_pieces,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_warc_captures": op9_warc_captures,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback.llm.common import table
+from lookback.llm.html import main_text
 from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
 from lookback.llm.pieces import Vocabulary, decoded, encoded
@@ -26,6 +27,10 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_main_text": op3_main_text,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mix": op6_source_mix,

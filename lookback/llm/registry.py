@@ -11,6 +11,7 @@ from lookback.llm.common import table
 from lookback.llm.html import main_text
 from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
+from lookback.llm.multiindex import similar_groups
 from lookback.llm.pieces import Vocabulary, decoded, encoded
 from lookback.llm.quality import judge, train
 from lookback.llm.simhash import simhash_groups
@@ -27,6 +28,10 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 
+def op2_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -89,6 +94,7 @@ def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_groups": op2_embedding_groups,
     "op3_main_text": op3_main_text,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_line_dedup": op5_line_dedup,

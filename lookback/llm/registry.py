@@ -12,6 +12,7 @@ from lookback.llm.html import main_text
 from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
 from lookback.llm.multiindex import similar_groups
+from lookback.llm.ngram import quality_rules
 from lookback.llm.pieces import Vocabulary, decoded, encoded
 from lookback.llm.quality import judge, train
 from lookback.llm.simhash import simhash_groups
@@ -28,6 +29,10 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -94,6 +99,7 @@ def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_embedding_groups": op2_embedding_groups,
     "op3_main_text": op3_main_text,
     "op4_simhash_groups": op4_simhash_groups,

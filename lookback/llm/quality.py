@@ -202,20 +202,21 @@ def _telling_grams(sample: DataFrame, label: str, n: int) -> np.ndarray:
 
     def counts(batches):
         for batch in batches:
-            held, bad = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for text, mark in zip(*batch.columns, strict=True):
-                words = (text.as_py() or b"").lower().split()
-                if words:
-                    own = np.unique(grams(b" " + b" ".join(words) + b" "))
-                    held.append(own)
-                    if mark.as_py():
-                        bad.append(own)
-            gram, n = np.unique(np.concatenate(held), return_counts=True)
-            of_bad = np.bincount(np.searchsorted(gram, np.concatenate(bad)), minlength=len(gram))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram), pa.array(n), pa.array(of_bad.astype(np.int64))],
-                names=["gram", "n", "bad"],
-            )
+            for at in range(0, batch.num_rows, 500):
+                held, bad = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                for text, mark in zip(*batch.slice(at, 500).columns, strict=True):
+                    words = (text.as_py() or b"").lower().split()
+                    if words:
+                        own = np.unique(grams(b" " + b" ".join(words) + b" "))
+                        held.append(own)
+                        if mark.as_py():
+                            bad.append(own)
+                gram, n = np.unique(np.concatenate(held), return_counts=True)
+                of_bad = np.bincount(np.searchsorted(gram, np.concatenate(bad)), minlength=len(gram))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram), pa.array(n), pa.array(of_bad.astype(np.int64))],
+                    names=["gram", "n", "bad"],
+                )
 
     size = sample.agg(F.count("*").alias("n"), F.sum(label).alias("bad")).first()
     if not size["bad"] or size["bad"] == size["n"]:

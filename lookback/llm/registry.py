@@ -15,6 +15,7 @@ from lookback.llm.multiindex import similar_groups
 from lookback.llm.ngram import quality_rules
 from lookback.llm.pieces import Vocabulary, decoded, encoded
 from lookback.llm.quality import judge, train
+from lookback.llm.recurrent import score_documents
 from lookback.llm.simhash import simhash_groups
 from lookback.llm.warc import archived_pages
 
@@ -98,6 +99,10 @@ def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op10_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_groups": op2_embedding_groups,
@@ -108,6 +113,7 @@ QUERIES = {
     "op7_nbest_pieces": op7_nbest_pieces,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_warc_captures": op9_warc_captures,
+    "op10_recurrent_scores": op10_recurrent_scores,
 }
 
 def _level_sql(n: int, path: str, above: str, weight: str) -> str:

@@ -10,12 +10,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lookback import schemas
-from lookback.config import PipelineConfig
-from lookback.operators.audit import dq_trend, latest_report, require_no_breach
+from lookback.config import AUDIT_TABLE, PipelineConfig
+from lookback.operators.audit import require_no_breach
 from lookback.plans import layers
 from lookback.session import build_session
 
-STEPS = ("ingest", "conform", "features", "quality", "maintenance", "all")
+STEPS = ("ingest", "conform", "features", "train", "score", "quality", "maintenance", "all")
 INTEGERS = ("feature_window_days", "serving_window_days", "amount_scale")
 
 
@@ -29,15 +29,16 @@ def setting_value(text: str) -> tuple[str, object]:
 
 
 def report_quality(spark: SparkSession, cfg: PipelineConfig) -> None:
-    """Show the latest state and the trend; raise when a critical rule is red."""
-    log = spark.table(cfg.audit_table)
-    latest_report(log).show(100, truncate=False)
-    dq_trend(log).show(100, truncate=False)
-    require_no_breach(log)
+    """Write report, trend and alerts, preview them, and raise when a critical rule is red."""
+    alerts = layers.run_quality(spark, cfg)
+    print("alerts:", [r["alert"] for r in alerts.where("triggered").collect()])
+    print("report (first rows; all in the monitoring schema):")
+    spark.table(cfg.table("monitoring", "dq_report")).show(truncate=False)
+    require_no_breach(spark.table(cfg.table("monitoring", AUDIT_TABLE)))
 
 
 def report_features(spark: SparkSession, cfg: PipelineConfig) -> None:
-    features = spark.table(cfg.features)
+    features = spark.table(cfg.table("gold", cfg.feature_table))
     print("rows:", features.count())
     features.orderBy(F.desc("views_3w"), *schemas.EVENT_KEY).limit(10).show(truncate=False)
 
@@ -65,6 +66,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     if "features" in todo:
         layers.run_features(spark, cfg, this, args.keep_older_days)
         report_features(spark, cfg)
+    if "train" in todo:
+        print("held-out AUC:", layers.run_train(spark, cfg))
+    if "score" in todo:
+        layers.run_score(spark, cfg)
     if "maintenance" in todo:
         layers.run_maintenance(spark, cfg)
     if "quality" in todo:

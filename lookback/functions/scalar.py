@@ -33,8 +33,12 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
 
 
 def to_units(c: Column | str, scale: int) -> Column:
-    """Amount as whole units of 10**-scale, so that sums do not depend on row order."""
-    return F.round(col(c) * F.lit(float(10**scale))).cast("long")
+    """Amount as whole units of 10**-scale, so that sums do not depend on row order.
+
+    Finer amounts are rounded. NaN and what exceeds 64 bits give NULL, so that a rule
+    meets them and not a failed cast.
+    """
+    return F.round(col(c) * F.lit(float(10**scale))).try_cast("long")
 
 
 def from_units(c: Column | str, scale: int) -> Column:

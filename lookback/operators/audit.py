@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback.operators.expectations import DataQualityError
@@ -60,11 +60,11 @@ def latest_report(audit: DataFrame) -> DataFrame:
 
 
 def dq_trend(audit: DataFrame) -> DataFrame:
-    """Mean failure rate per run and table, in time order."""
+    """Mean failure rate per run and table, in time order; runs of one time stay apart."""
     return (
-        audit.groupBy("checked_at", "layer", "table_name")
+        audit.groupBy("checked_at", "run_id", "layer", "table_name")
         .agg(F.round(F.avg("failure_rate") * 100, 3).alias("avg_failure_pct"))
-        .orderBy("checked_at", "layer", "table_name")
+        .orderBy("checked_at", "run_id", "layer", "table_name")
     )
 
 
@@ -77,37 +77,40 @@ def latest_run(audit: DataFrame) -> DataFrame:
     return audit.where(F.col("run_id") == newest.scalar())
 
 
+#: Fixed value: what an open gate answers.
+GATE_OPEN = "DQ OK"
+
+
+def is_breach() -> Column:
+    """An audit row of a critical rule that some row violated."""
+    return (F.col("action") == "fail") & (F.col("failed_rows") > 0)
+
+
 def dq_gate(audit: DataFrame) -> DataFrame:
-    """'DQ OK' for the newest run; evaluating it raises when a ``fail`` rule broke."""
-    broken = F.count_if((F.col("action") == "fail") & ~F.col("passed"))
-    message = F.concat(
-        F.lit("Data quality: "), F.col("n").cast("string"), F.lit(" critical rules violated")
-    )
-    return (
-        latest_run(audit)
-        .agg(broken.alias("n"))
-        .select(
-            F.when(F.col("n") > 0, F.raise_error(message))
-            .otherwise(F.lit("DQ OK"))
-            .alias("dq_gate")
-        )
-    )
+    """One row for the newest run, or an error that lists its breached rules when evaluated."""
+    name = F.concat_ws(".", "table_name", "expectation")
+    names = F.sort_array(F.collect_set(F.when(is_breach(), name)))
+    state = latest_run(audit).agg(names.alias("names"))
+    closed = F.raise_error(F.concat(F.lit("gate closed by "), F.array_join("names", " and ")))
+    return state.select(F.when(F.size("names") == 0, GATE_OPEN).otherwise(closed).alias("dq_gate"))
 
 
 def breaches(latest: DataFrame) -> DataFrame:
-    return latest.where("action = 'fail' AND passed = false")
+    return latest.where(is_breach())
 
 
 def require_no_breach(audit: DataFrame) -> None:
-    """Raise when the latest state of any ``fail`` rule is red."""
-    n = breaches(latest_rows(audit)).count()
-    if n:
-        raise DataQualityError(f"{n} critical rules violated in the latest run")
+    """Raise when the latest state of any critical rule is red."""
+    red = breaches(latest_rows(audit)).select("table_name", "expectation", "failed_rows").collect()
+    if red:
+        raise DataQualityError(
+            "latest state", {f"{r['table_name']}.{r['expectation']}": r["failed_rows"] for r in red}
+        )
 
 
 def dq_alerts(latest: DataFrame, max_failure_pct: float = 1.0) -> DataFrame:
     """Alert conditions over ``dq_latest``: one row each, with value and threshold."""
-    critical = F.count_if((F.col("action") == "fail") & ~F.col("passed"))
+    critical = F.count_if(is_breach())
     values = latest.agg(
         critical.cast("double").alias("critical"), F.max("failure_pct").alias("worst")
     )

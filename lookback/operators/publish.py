@@ -7,9 +7,11 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
 from lookback.functions.predicates import sql_text
+from lookback.operators.expectations import TableConstraints, constraint_audit, stop_if_blocked
 from lookback.session import setting
 from lookback.sources.files import is_path, load
 
@@ -50,7 +52,8 @@ def write_table(
     """Create or replace ``target`` (table name or folder), or append to it.
 
     ``cluster_by`` sorts the rows by the partition columns and then by these;
-    without it the partition columns alone balance the file sizes.
+    without it the partition columns alone balance the file sizes. Overwriting a catalog
+    table takes the old one away first; ``replace_table`` does not.
     """
     if schema is not None:
         df = to_schema(df, schema)
@@ -58,20 +61,55 @@ def write_table(
         df = clustered(df, [*partition_by, *cluster_by])
     elif partition_by:
         df = rebalanced(df, partition_by)
+    if mode == "append" and not is_path(target) and df.sparkSession.catalog.tableExists(target):
+        df = _widened(df, target)
     writer = df.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target) if is_path(target) else writer.saveAsTable(target)
 
 
+def _widened(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the columns of an existing table, which first gains those it lacks.
+
+    Older rows read NULL there, and so do new rows in columns that ``df`` lacks. A column
+    of another type is cast to the table's.
+    """
+    spark = df.sparkSession
+    known = {f.name.lower() for f in spark.table(table).schema.fields}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    have = {c.lower() for c in df.columns}
+    return df.select(
+        *[
+            (F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields
+        ]
+    )
+
+
+def _checked(df: DataFrame, constraints: TableConstraints | None, table: str) -> None:
+    if constraints:
+        rows = constraint_audit(df, constraints, "write", table, "write").collect()
+        stop_if_blocked(rows, table)
+
+
 def replace_partitions(
     df: DataFrame,
     target: str,
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
+    constraints: TableConstraints | None = None,
 ) -> None:
     """Replace only the partitions that ``df`` has rows for. Running it again with the
-    same rows leaves the table as it is, and other days stay untouched."""
+    same rows leaves the table as it is, and other days stay untouched.
+
+    Rows that violate ``constraints`` publish nothing. They are read for that first, so
+    ``df`` should be staged then.
+    """
+    _checked(df, constraints, target)
     layout = [*partition_by, *cluster_by]
     df = clustered(df, layout) if cluster_by else rebalanced(df, partition_by)
     # insertInto takes the mode from the session only.
@@ -89,13 +127,18 @@ def replace_table(
     partition_by: str,
     cluster_by: Sequence[str] = (),
     schema: StructType | None = None,
+    constraints: TableConstraints | None = None,
 ) -> None:
     """Replace a partitioned table's content without ever taking the table away.
 
     New partitions are written aside and swapped in when the job commits; partitions
-    that ``df`` no longer has are dropped after that. A job that dies leaves the old
-    rows. A changed schema, or a first run, creates the table instead.
+    that ``df`` no longer has are dropped after that, in one statement. A job that dies
+    leaves the old rows; between the two steps a reader may see days that are gone beside
+    the new ones. A changed schema, or a first run, creates the table instead.
+
+    Rows that violate ``constraints`` publish nothing (see ``replace_partitions``).
     """
+    _checked(df, constraints, table)
     spark = df.sparkSession
     if schema is not None:
         df = to_schema(df, schema)
@@ -110,13 +153,11 @@ def replace_table(
     # One value per partition, so this is as short as the partition list.
     fresh = {r[0] for r in df.select(value).distinct().collect()}
     replace_partitions(df, table, [partition_by], cluster_by)
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        name = unquote(row[0].split("=", 1)[1])
-        old = None if name == "__HIVE_DEFAULT_PARTITION__" else name
-        if old not in fresh:
-            spark.sql(
-                f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {sql_text(old)})"
-            )
+    names = [unquote(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    held = {None if n == "__HIVE_DEFAULT_PARTITION__" else n for n in names}
+    gone = ", ".join(f"PARTITION ({partition_by} = {sql_text(v)})" for v in held - fresh)
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
 
 
 def insert_overwrite(df: DataFrame, table: str) -> None:
@@ -147,9 +188,30 @@ def staged(df: DataFrame, target: str) -> DataFrame:
 
 
 def empty_like(df: DataFrame) -> DataFrame:
+    """No rows, but the columns and types: what a table is declared from."""
     return df.limit(0)
 
 
+def register(spark: SparkSession, table: str, folder: str, partition_by: Sequence[str] = ()) -> bool:
+    """Make a table of an existing Parquet folder known to this session's catalog.
+
+    Catalogs that live in the process forget tables whose files stay. Returns whether
+    there is anything in the folder.
+    """
+    if spark.catalog.tableExists(table):
+        return True
+    try:
+        df = spark.read.option("mergeSchema", True).parquet(folder)
+    except AnalysisException:
+        return False
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts} LOCATION '{folder}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    return True
+
+
 def create_table(
     spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = ()
 ) -> None:

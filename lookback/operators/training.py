@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lookback import schemas
 from lookback.functions.scalar import stable_bucket
-from lookback.operators.expectations import key_duplicates, raise_on_failure
+from lookback.operators.expectations import key_duplicates, stop_if_blocked
 from lookback.operators.lookup import lookup_features
 
 
@@ -31,7 +31,7 @@ def training_set(
     A feature table with a repeated key would multiply the spine, so that raises.
     """
     if check_key:
-        raise_on_failure(
+        stop_if_blocked(
             key_duplicates(features, key, "training", "features", "check").collect(), "features"
         )
     return lookup_features(spine.select(*key, label), features, key, names)
@@ -67,9 +67,9 @@ def click_model(
 
 
 def area_under_roc(
-    scored: DataFrame, label: str = "clicked", score: str = "rawPrediction", bins: int = 1000
+    scored: DataFrame, label: str = "clicked", score: str = "rawPrediction", bins: int = 0
 ) -> float:
-    """``bins`` bounds the curve's points; 0 takes every distinct score."""
+    """Exact by default: every distinct score is a point. ``bins`` bounds their number."""
     return BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
     ).evaluate(scored)

@@ -101,6 +101,20 @@ def land_events(
     df.select(line.alias("value")).write.mode(mode).text(folder)
 
 
+def move_aged(spark: SparkSession, source: str, target: str, days: int) -> None:
+    """Move files into a folder as if they had been written ``days`` before now."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(source)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = jvm.java.lang.System.currentTimeMillis() - days * 86_400_000
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            moved = jvm.org.apache.hadoop.fs.Path(f"{target}/{name}")
+            fs.rename(status.getPath(), moved)
+            fs.setTimes(moved, old, -1)
+
+
 def land_payments(df: DataFrame, folder: str, broken: bool = False) -> None:
     """Write rows as CSV with a header; ``broken`` spoils some amounts."""
     total = F.col("total").cast("string")

@@ -7,12 +7,13 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lookback import schemas
-from lookback.config import PipelineConfig
+from lookback.config import AUDIT_TABLE, PipelineConfig
 from lookback.functions.predicates import days_between
 from lookback.functions.scalar import from_units, safe_ratio, to_day, to_type, to_units
 from lookback.operators import audit, conform, publish, training
@@ -20,6 +21,7 @@ from lookback.operators.bandjoin import band_join
 from lookback.operators.expectations import (
     Expectation,
     audit_frame,
+    constraint_audit,
     expect,
     expect_all_or_drop,
     expect_or_fail,
@@ -91,13 +93,15 @@ def ingest_csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingest_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per landing file kind, from the lineage columns."""
+    """Rows per landing file kind, JSON and CSV, from the lineage columns."""
     root = scratch_dir(spark, "landing")
     for event_type, name in ((b.VIEW, "prints.json"), (b.CLICK, "taps.json")):
         b.land_events(b.typed(spark, sf_dir, event_type), f"{root}/{name}")
-    raw = read_jsonl(
-        spark, f"{root}/*.json", schemas.EVENT_LANDING
-    ).transform(with_lineage)
+    b.land_payments(b.typed(spark, sf_dir, b.PURCHASE), f"{root}/pays.csv")
+    events = read_jsonl(spark, f"{root}/*.json", schemas.EVENT_LANDING)
+    pays = read_csv(spark, f"{root}/pays.csv", schemas.PAYMENT_LANDING)
+    stamps = ["_ingested_at", "_source_file"]
+    raw = with_lineage(events).select(stamps).unionByName(with_lineage(pays).select(stamps))
     folder = F.regexp_extract("_source_file", "([^/]+)/[^/]+$", 1)
     return raw.groupBy(folder.alias("source")).agg(
         F.count(F.lit(1)).alias("n"),
@@ -124,6 +128,25 @@ def ingest_stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.flatten_events(load(spark, f"{root}/raw"))
 
 
+@query
+def ingest_stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive ten days older than the newest one seen are taken all the same."""
+    root = scratch_dir(spark, "stream")
+    rows = b.typed(spark, sf_dir, b.VIEW)
+    half = F.lit(dt.date(2024, 1, 16))
+
+    def take() -> None:
+        stream = stream_files(spark, f"{root}/in", schemas.EVENT_LANDING)
+        ingest_new_files(stream, f"{root}/raw", f"{root}/checkpoint")
+
+    b.land_events(rows.where(F.col("day") >= half), f"{root}/in")
+    take()
+    b.land_events(rows.where(F.col("day") < half), f"{root}/late")
+    b.move_aged(spark, f"{root}/late", f"{root}/in", days=10)
+    take()
+    return conform.flatten_events(load(spark, f"{root}/raw"))
+
+
 @query
 def ingest_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
@@ -246,16 +269,14 @@ def click_features_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def click_features_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature query written in SQL; its plain double sums are rounded here."""
-    features = compute_features_sql(
+    """The feature query written in SQL."""
+    return compute_features_sql(
         b.impressions(spark, sf_dir),
         b.clicks(spark, sf_dir),
         b.payments(spark, sf_dir),
         _last_view_day(spark, sf_dir),
+        amount_scale=SCALE,
     ).drop("_computed_at")
-    return features.withColumns(
-        {c: F.round(c, 6) for c in ("amount_3w", "ctr_3w", "avg_ticket_3w")}
-    )
 
 
 def _orders_90d(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
@@ -391,6 +412,14 @@ def dq_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dq_payments_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts that are no number are violations, not the largest amounts."""
+    messy = b.messy(spark, sf_dir, b.PURCHASE)
+    total = F.when(F.col("k") % 10 == 3, F.lit(float("nan"))).otherwise(F.col("total"))
+    return _audit(messy.withColumn("total", total), rules.payment_rules(), "silver", "pays")
+
+
 @query
 def dq_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audit(_features(spark, sf_dir), rules.feature_rules(), "gold", "click_features")
@@ -430,12 +459,10 @@ def dq_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _audit(
-        _features(spark, sf_dir),
-        rules.FEATURE_CONSTRAINTS.expectations(),
-        "gold",
-        "click_features",
-    )
+    """NOT NULL, CHECK and the primary key, its uniqueness included."""
+    features = publish.staged(_features(spark, sf_dir), scratch_dir(spark, "features"))
+    rows = constraint_audit(features, rules.FEATURE_CONSTRAINTS, "gold", "click_features", "run")
+    return rows.drop(*STAMPS, "constraint")
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,6 +583,20 @@ def publish_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.load_merged(spark, folder)
 
 
+@query
+def publish_table_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table gains a column from an append; older rows read NULL there."""
+    schema = f"pub_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, 'warehouse')}'")
+    pays = b.payments(spark, sf_dir)
+    half = F.lit(dt.date(2024, 1, 16))
+    publish.append(pays.where(F.col("day") < half), f"{schema}.log")
+    publish.append(
+        pays.where(F.col("day") >= half).withColumn("currency", F.lit("EUR")), f"{schema}.log"
+    )
+    return spark.table(f"{schema}.log")
+
+
 @query
 def publish_table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared table, filled, overwritten in full, analyzed."""
@@ -597,9 +638,9 @@ def feature_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         last_day=last - dt.timedelta(days=1),
         amount_scale=SCALE,
     ).drop("_computed_at")
-    return publish.snapshot_diff(
-        old, _features(spark, sf_dir, last_day=last), schemas.EVENT_KEY
-    )
+    new = _features(spark, sf_dir, last_day=last)
+    old, new = (publish.staged(x, scratch_dir(spark, "snapshot")) for x in (old, new))
+    return publish.snapshot_diff(old, new, schemas.EVENT_KEY)
 
 
 # ---------------------------------------------------------------- training
@@ -607,12 +648,9 @@ def feature_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled impressions of ten days; three of them are older than the features."""
-    last = _last_view_day(spark, sf_dir)
-    spine = label_lookup(spark, sf_dir).where(
-        days_between("day", *serving_days(last, 10))
-    )
-    return training.training_set(spine, _features(spark, sf_dir, last_day=last))
+    """All labelled impressions; those older than the features find none."""
+    features = publish.staged(_features(spark, sf_dir), scratch_dir(spark, "features"))
+    return training.training_set(label_lookup(spark, sf_dir), features)
 
 
 @query
@@ -630,18 +668,74 @@ def train_test_split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well past click rate alone ranks the clicked impressions."""
     features = _features(spark, sf_dir)
-    auc = training.area_under_roc(features, score="ctr_3w", bins=0)
+    auc = training.area_under_roc(features, score="ctr_3w")
     return spark.createDataFrame([(round(auc, 6),)], "auc double")
 
 
-@query
-def click_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _model(spark: SparkSession, sf_dir: str):
+    """The click model fitted on all training rows, the held-out rows and the features."""
     features = publish.staged(_features(spark, sf_dir), scratch_dir(spark, "features"))
-    spine = features.select(*schemas.EVENT_KEY, "clicked")
-    rows = training.training_set(spine, features)
+    rows = training.training_set(features.select(*schemas.EVENT_KEY, "clicked"), features)
     train, test = training.hash_split(rows, schemas.EVENT_KEY)
-    model = training.click_model().fit(train)
-    return training.score_batch(model, test.drop("clicked"), features)
+    return training.click_model().fit(train), test, features
+
+
+@query
+def click_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored held-out keys, with what must hold for the scores of any model."""
+    model, test, features = _model(spark, sf_dir)
+    scored = training.score_batch(model, test.drop("clicked"), features)
+    p = F.col("probability")
+    return scored.select(
+        *schemas.EVENT_KEY,
+        p.between(0, 1).alias("is_probability"),
+        ((p > 0.5) == (F.col("prediction") == 1.0)).alias("is_consistent"),
+    )
+
+
+@query
+def click_model_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out AUC by Spark ML beside the rank-sum AUC of the same staged scores."""
+    model, test, _ = _model(spark, sf_dir)
+    score = vector_to_array("rawPrediction")[1]
+    scored = model.transform(test).select("clicked", score.alias("score"))
+    scored = publish.staged(scored, scratch_dir(spark, "scores"))
+    auc = training.area_under_roc(scored, score="score")
+    ranks = scored.groupBy("score").agg(
+        F.sum("clicked").alias("p"), F.sum(1 - F.col("clicked")).alias("n")
+    )
+    # Ranks in two steps: over ranges of scores, then within each, so no task sorts all.
+    ranks = ranks.withColumn("range", F.floor(F.col("score") * 1000))
+    ranges = ranks.groupBy("range").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("range").orderBy("score")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    ranks = ranks.join(ranges, "range").withColumn(
+        "below", F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    )
+    won = F.try_divide(
+        F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.sum("p") * F.sum("n")
+    )
+    return ranks.agg(
+        F.sum(F.col("p") + F.col("n")).alias("rows"),
+        F.sum("p").alias("clicked"),
+        # With one class only there is nothing to rank.
+        F.coalesce(F.abs(won - auc) < 1e-9, F.lit(True)).alias("is_rank_sum"),
+    )
+
+
+@query
+def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories by falling frequency (equal ones by name), assembled with the position."""
+    rows = label_lookup(spark, sf_dir)
+    index, assemble, _ = training.click_model(numeric=["position"]).getStages()
+    assembled = assemble.transform(index.fit(rows).transform(rows))
+    return assembled.select(
+        *schemas.EVENT_KEY,
+        F.col("value_prop_idx").cast("long").alias("category"),
+        vector_to_array("features").cast("array<bigint>").alias("vector"),
+    )
 
 
 # ---------------------------------------------------------------- whole job
@@ -661,9 +755,9 @@ def _landed_job(spark: SparkSession, sf_dir: str) -> PipelineConfig:
         as_of=b.AS_OF,
         amount_scale=SCALE,
     )
-    b.land_events(b.messy(spark, sf_dir, b.VIEW), cfg.prints_path)
-    b.land_events(b.messy(spark, sf_dir, b.CLICK), cfg.taps_path)
-    b.land_payments(b.messy(spark, sf_dir, b.PURCHASE), cfg.pays_path)
+    b.land_events(b.messy(spark, sf_dir, b.VIEW), cfg.source("prints"))
+    b.land_events(b.messy(spark, sf_dir, b.CLICK), cfg.source("taps"))
+    b.land_payments(b.messy(spark, sf_dir, b.PURCHASE), cfg.source("pays"))
     layers.run(spark, cfg, quarantine=True)
     return cfg
 
@@ -671,16 +765,31 @@ def _landed_job(spark: SparkSession, sf_dir: str) -> PipelineConfig:
 @query
 def layered_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _landed_job(spark, sf_dir)
-    return spark.table(cfg.features).drop("_computed_at")
+    return spark.table(cfg.table("gold", cfg.feature_table)).drop("_computed_at")
 
 
 @query
 def layered_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _landed_job(spark, sf_dir)
-    return spark.table(cfg.audit_table).drop(*STAMPS, "constraint")
+    return spark.table(cfg.table("monitoring", AUDIT_TABLE)).drop(*STAMPS, "constraint")
 
 
 @query
 def layered_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each table set aside; a step that runs again leaves one copy per run."""
     cfg = _landed_job(spark, sf_dir)
-    return spark.table(cfg.m("pays_quarantine")).drop("_quarantined_at")
+    layers.run_conform(spark, cfg, quarantine=True)
+    found = None
+    for name in ("prints", "taps", "pays"):
+        rows = spark.table(cfg.table("monitoring", f"{name}_quarantine"))
+        rows = rows.select(F.lit(name).alias("source"), "run_id", "day", "user_id", "value_prop")
+        found = rows if found is None else found.unionByName(rows)
+    runs = found.groupBy("source", "day", "user_id", "value_prop").agg(
+        F.count("*").alias("n"), F.count_distinct("run_id").alias("runs")
+    )
+    return runs.withColumn("n", F.col("n") / F.col("runs"))
+
+
+@query
+def layered_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers.run_quality(spark, _landed_job(spark, sf_dir))

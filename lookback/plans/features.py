@@ -93,49 +93,48 @@ def compute_features(
     )
 
 
-# The feature query as Spark SQL, for callers that work in SQL. Relations and the
-# window lengths come in as parameters; the plan is the one of the window form.
+# The feature query as Spark SQL, for callers that work in SQL. Every source is rolled up
+# to one row per entity and day by itself; the histories are frames over the union of
+# those rows. Amounts are summed as DECIMAL or as doubles, as ``money`` says.
 _FEATURES_SQL = """
-WITH events AS (
-  SELECT user_id, value_prop, day, 'print' AS etype, CAST(0 AS DOUBLE) AS amount FROM {prints}
-  UNION ALL
-  SELECT user_id, value_prop, day, 'tap', CAST(0 AS DOUBLE) FROM {taps}
-  UNION ALL
-  SELECT user_id, value_prop, day, 'pay', total FROM {pays}
+WITH seen AS (
+  SELECT user_id, value_prop, day, count(*) AS n FROM {prints} GROUP BY ALL
 ),
-daily AS (
-  SELECT user_id, value_prop, day,
-    count_if(etype = 'print') AS views, count_if(etype = 'tap') AS taps,
-    count_if(etype = 'pay') AS pays, sum(CASE WHEN etype = 'pay' THEN amount END) AS amount
-  FROM events
-  WHERE user_id IS NOT NULL AND value_prop IS NOT NULL
-    AND day BETWEEN date_sub(:first_day, :lookback) AND :last_day
-  GROUP BY user_id, value_prop, day
+tapped AS (
+  SELECT user_id, value_prop, day, count(*) AS n FROM {taps} GROUP BY ALL
 ),
-rolled AS (
-  SELECT user_id, value_prop, day, taps > 0 AS tapped,
-    sum(views) OVER past AS views_3w, sum(taps) OVER past AS taps_3w,
-    sum(pays) OVER past AS pays_3w, sum(amount) OVER past AS amount_3w
-  FROM daily
+paid AS (
+  SELECT user_id, value_prop, day, count(*) AS n, sum(CAST(total AS {money})) AS spent
+  FROM {pays} GROUP BY ALL
+),
+history AS (
+  SELECT user_id, value_prop, day, sum(v) OVER past AS views_3w, sum(t) OVER past AS taps_3w,
+    sum(p) OVER past AS pays_3w, sum(m) OVER past AS amount_3w, t > 0 AS tap_today
+  FROM (
+    SELECT user_id, value_prop, day, sum(v) AS v, sum(t) AS t, sum(p) AS p, sum(m) AS m
+    FROM (
+      SELECT user_id, value_prop, day, n AS v, 0L AS t, 0L AS p, NULL AS m FROM seen
+      UNION ALL SELECT user_id, value_prop, day, 0L, n, 0L, NULL FROM tapped
+      UNION ALL SELECT user_id, value_prop, day, 0L, 0L, n, spent FROM paid
+    )
+    WHERE user_id IS NOT NULL AND value_prop IS NOT NULL
+      AND day >= date_sub(:first_day, :lookback) AND day <= :last_day
+    GROUP BY user_id, value_prop, day
+  )
   WINDOW past AS (PARTITION BY user_id, value_prop ORDER BY unix_date(day)
                   RANGE BETWEEN :lookback PRECEDING AND 1 PRECEDING)
 ),
-spine AS (
-  SELECT DISTINCT day, user_id, value_prop, position FROM {prints}
-  WHERE day BETWEEN :first_day AND :last_day
-),
-filled AS (
-  SELECT s.*, CAST(coalesce(r.tapped, false) AS INT) AS clicked,
-    coalesce(r.views_3w, 0) AS views_3w, coalesce(r.taps_3w, 0) AS taps_3w,
-    coalesce(r.pays_3w, 0) AS pays_3w, coalesce(r.amount_3w, 0.0D) AS amount_3w
-  FROM spine s LEFT JOIN (SELECT * FROM rolled WHERE day >= :first_day) r
-    USING (day, user_id, value_prop)
+served AS (
+  SELECT day, user_id, value_prop, position FROM {prints}
+  WHERE day >= :first_day AND day <= :last_day GROUP BY ALL
 )
-SELECT day, user_id, value_prop, position, clicked, views_3w, taps_3w, pays_3w, amount_3w,
-  CASE WHEN views_3w > 0 THEN taps_3w / views_3w ELSE 0.0D END AS ctr_3w,
-  CASE WHEN pays_3w > 0 THEN amount_3w / pays_3w ELSE 0.0D END AS avg_ticket_3w,
+SELECT day, user_id, value_prop, position, CAST(ifnull(tap_today, false) AS INT) AS clicked,
+  ifnull(views_3w, 0L) AS views_3w, ifnull(taps_3w, 0L) AS taps_3w, ifnull(pays_3w, 0L) AS pays_3w,
+  ifnull(CAST(amount_3w AS DOUBLE), 0D) AS amount_3w,
+  ifnull(try_divide(taps_3w, views_3w), 0D) AS ctr_3w,
+  ifnull(try_divide(CAST(amount_3w AS DOUBLE), pays_3w), 0D) AS avg_ticket_3w,
   current_timestamp() AS _computed_at
-FROM filled
+FROM served LEFT JOIN history USING (day, user_id, value_prop)
 """
 
 
@@ -143,13 +142,18 @@ def compute_features_sql(
     prints: DataFrame,
     taps: DataFrame,
     pays: DataFrame,
-    last_day: dt.date,
+    last_day: dt.date | None = None,
     feature_window_days: int = 21,
     serving_window_days: int = 7,
+    amount_scale: int | None = None,
 ) -> DataFrame:
-    first, last = serving_days(last_day, serving_window_days)
+    """``compute_features`` in SQL, with the same defaults; amounts finer than
+    ``amount_scale`` are rounded, and without it sums are plain doubles."""
+    last = last_day or last_day_of(prints) or dt.date(1970, 1, 1)
+    first, last = serving_days(last, serving_window_days)
+    money = "DOUBLE" if amount_scale is None else f"DECIMAL(18, {amount_scale})"
     return prints.sparkSession.sql(
-        _FEATURES_SQL,
+        _FEATURES_SQL.replace("{money}", money),
         args={"first_day": first, "last_day": last, "lookback": feature_window_days},
         prints=prints,
         taps=taps,

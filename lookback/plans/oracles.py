@@ -178,12 +178,16 @@ _LABELLED = f"""labelled AS (
   FROM prints p
 )"""
 
+# Purchases count as often as they occur, the other two once per key.
 _UNION = """
-SELECT user_id, value_prop, day AS ev_day, 'print' AS etype, CAST(0 AS DOUBLE) AS amount FROM prints
-UNION ALL
-SELECT user_id, value_prop, day, 'tap', CAST(0 AS DOUBLE) FROM taps
-UNION ALL
-SELECT user_id, value_prop, day, 'pay', total FROM pays"""
+SELECT user_id, value_prop, day AS ev_day,
+  CASE event_type WHEN 'view' THEN 'print' WHEN 'click' THEN 'tap' ELSE 'pay' END AS etype,
+  CASE WHEN event_type = 'purchase' THEN total ELSE 0.0 END AS amount
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, day, user_id, value_prop, position) AS copy
+  FROM typed
+) t
+WHERE event_type = 'purchase' OR (event_type IN ('view', 'click') AND copy = 1)"""
 
 
 ORACLES: dict[str, str] = {
@@ -202,10 +206,12 @@ SELECT value_prop, user_id, CASE WHEN k >= 95 THEN NULL ELSE total END AS total,
   CAST(day AS VARCHAR) AS pay_date
 FROM typed WHERE event_type = 'purchase'""",
     "ingest_lineage": f"""WITH {_TYPED}
-SELECT CASE event_type WHEN 'view' THEN 'prints.json' ELSE 'taps.json' END AS source,
-  CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS stamped
-FROM typed WHERE event_type IN ('view', 'click') GROUP BY event_type""",
+SELECT CASE event_type WHEN 'view' THEN 'prints.json' WHEN 'click' THEN 'taps.json' ELSE 'pays.csv' END
+  AS source, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS stamped
+FROM typed WHERE event_type IN ('view', 'click', 'purchase') GROUP BY event_type""",
     "ingest_stream_available_now": f"""WITH {_TYPED}
+SELECT {_KEY} FROM typed WHERE event_type = 'view'""",
+    "ingest_stream_late_files": f"""WITH {_TYPED}
 SELECT {_KEY} FROM typed WHERE event_type = 'view'""",
     "ingest_stream_csv": f"""WITH {_TYPED}
 SELECT day, user_id, value_prop, total FROM typed WHERE event_type = 'purchase'""",
@@ -235,9 +241,7 @@ FROM u GROUP BY user_id, value_prop, ev_day""",
     "click_features": _FEATURES,
     "click_features_join": _FEATURES,
     "click_features_binned": _FEATURES,
-    "click_features_sql": f"""WITH {_TABLES}, {_features('f')}
-SELECT {_KEY}, clicked, views_3w, taps_3w, pays_3w, round(amount_3w, 6) AS amount_3w,
-  round(ctr_3w, 6) AS ctr_3w, round(avg_ticket_3w, 6) AS avg_ticket_3w FROM f""",
+    "click_features_sql": _FEATURES,
     "pit_orders_90d": _ORDERS_90D,
     "pit_orders_90d_binned": _ORDERS_90D,
     "pit_foreign_spine": f"""WITH {_TABLES}
@@ -271,6 +275,14 @@ ORDER BY views_3w DESC, {_KEY} LIMIT 10""",
     "dq_events": f"WITH {_TYPED} {_audit_select(_VIEWS, 'silver', 'prints', _event_checks())}",
     "dq_events_strict": f"WITH {_TYPED} {_audit_select(_CLICKS, 'silver', 'taps', _event_checks('drop'))}",
     "dq_payments": f"WITH {_TYPED} {_audit_select(_PURCHASES, 'silver', 'pays', _PAYMENT_CHECKS)}",
+    "dq_payments_nan": f"WITH {_TYPED} "
+    + _audit_select(
+        "(SELECT * REPLACE (CASE WHEN k % 10 = 3 THEN NULL ELSE total END AS total)"
+        " FROM messy WHERE event_type = 'purchase') p",
+        "silver",
+        "pays",
+        _PAYMENT_CHECKS,
+    ),
     "dq_features": f"""WITH {_TABLES}, {_features('f')}
 {_audit_select('f', 'gold', 'click_features', _FEATURE_CHECKS)}""",
     "dq_declared": f"WITH {_TYPED} "
@@ -305,7 +317,11 @@ FROM groups""",
     ("value_prop_not_null", "fail", "value_prop IS NOT NULL"),
     ("position_not_null", "fail", "position IS NOT NULL"),
     ("clicked_binary", "fail", "clicked IN (0, 1)"),
-])}""",
+])}
+UNION ALL
+SELECT 'gold', 'click_features', 'pk_unique', 'fail', CAST(sum(n) AS BIGINT),
+  CAST(sum(n - 1) AS BIGINT), CAST(sum(n - 1) AS DOUBLE) / CAST(sum(n) AS DOUBLE), sum(n - 1) = 0
+FROM (SELECT count(*) AS n FROM f GROUP BY {_KEY}) uniq""",
     "dq_history": f"WITH {_HISTORY} SELECT * FROM history",
     "dq_latest": f"""WITH {_HISTORY}
 SELECT layer, table_name, expectation, action, total_rows, failed_rows,
@@ -318,7 +334,8 @@ SELECT CAST(checked_on AS VARCHAR) AS run_id, layer, table_name, expectation, ac
   failed_rows, failure_rate, passed, checked_on
 FROM latest ORDER BY layer, table_name, expectation""",
     "dq_trend": f"""WITH {_HISTORY}
-SELECT checked_on, layer, table_name, round(avg(failure_rate) * 100, 3) AS avg_failure_pct
+SELECT checked_on, CAST(checked_on AS VARCHAR) AS run_id, layer, table_name,
+  round(avg(failure_rate) * 100, 3) AS avg_failure_pct
 FROM history GROUP BY checked_on, layer, table_name ORDER BY checked_on""",
     "dq_gate": f"""WITH {_HISTORY}
 SELECT CASE WHEN sum(CASE WHEN action = 'fail' AND NOT passed THEN 1 ELSE 0 END) > 0
@@ -342,6 +359,8 @@ SELECT {_KEY}, clicked, CAST(views_3w + CASE WHEN day = {_LAST} THEN 100 ELSE 0
   taps_3w, pays_3w, amount_3w, ctr_3w, avg_ticket_3w FROM f""",
     "publish_clustered": f"WITH {_TABLES} SELECT * FROM pays",
     "publish_append_evolve": f"""WITH {_TABLES}
+SELECT *, CASE WHEN day >= DATE '2024-01-16' THEN 'EUR' END AS currency FROM pays""",
+    "publish_table_append_evolve": f"""WITH {_TABLES}
 SELECT *, CASE WHEN day >= DATE '2024-01-16' THEN 'EUR' END AS currency FROM pays""",
     "publish_table_overwrite": f"WITH {_TABLES} SELECT * FROM prints",
     "audit_log_append": f"""WITH {_TYPED}
@@ -367,8 +386,7 @@ UNION ALL SELECT 'update_post', * FROM post""",
 SELECT l.day, l.user_id, l.value_prop, l.position, l.clicked, f.views_3w, f.taps_3w, f.pays_3w,
   f.amount_3w, f.ctr_3w, f.avg_ticket_3w
 FROM labelled l LEFT JOIN f ON f.day = l.day AND f.user_id = l.user_id
-  AND f.value_prop = l.value_prop AND f.position = l.position
-WHERE l.day >= {_LAST} - 9""",
+  AND f.value_prop = l.value_prop AND f.position = l.position""",
     "train_test_split_hash": f"""WITH {_TABLES}, {_LABELLED}
 SELECT CASE WHEN {_SPLIT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, day,
   CAST(count(*) AS BIGINT) AS n, CAST(sum(clicked) AS BIGINT) AS clicked
@@ -383,6 +401,17 @@ below AS (
 )
 SELECT round(CAST(sum(p * (n_below + n / 2.0)) AS DOUBLE) / CAST(sum(p) * sum(n) AS DOUBLE), 6) AS auc
 FROM below""",
+    "click_model_scores": f"""WITH {_TABLES}, {_features('f')}
+SELECT {_KEY}, true AS is_probability, true AS is_consistent FROM f WHERE {_SPLIT_BUCKET} >= 80""",
+    "click_model_auc": f"""WITH {_TABLES}, {_features('f')}
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(clicked) AS BIGINT) AS clicked, true AS is_rank_sum
+FROM f WHERE {_SPLIT_BUCKET} >= 80""",
+    "category_index": f"""WITH {_TABLES}, ranked AS (
+  SELECT value_prop, row_number() OVER (ORDER BY count(*) DESC, value_prop) - 1 AS category
+  FROM prints GROUP BY value_prop
+)
+SELECT {_KEY}, category, [CAST(position AS BIGINT), category] AS vector
+FROM prints JOIN ranked USING (value_prop)""",
     "layered_features": f"WITH {_JOB_TABLES}, {_features('f')} SELECT * FROM f",
     "layered_audit": f"""WITH {_JOB_TABLES}, {_features('f')},
 uniq AS (SELECT count(*) AS n FROM f GROUP BY {_KEY})
@@ -398,6 +427,26 @@ SELECT 'gold', 'click_features', 'pk_unique', 'fail', CAST(sum(n) AS BIGINT),
   CAST(sum(n - 1) AS BIGINT), CAST(sum(n - 1) AS DOUBLE) / CAST(sum(n) AS DOUBLE), sum(n - 1) = 0
 FROM uniq""",
     "layered_quarantine": f"""WITH {_TYPED}
-SELECT day, user_id, value_prop, total FROM messy
-WHERE event_type = 'purchase' AND (value_prop IS NULL OR total < 0)""",
+SELECT CASE event_type WHEN 'view' THEN 'prints' WHEN 'click' THEN 'taps' ELSE 'pays' END AS source,
+  day, user_id, value_prop, CAST(count(*) AS DOUBLE) AS n, 2 AS runs
+FROM messy
+WHERE event_type IN ('view', 'click', 'purchase')
+  AND (value_prop IS NULL OR (event_type = 'purchase' AND total < 0))
+GROUP BY 1, 2, 3, 4""",
+    "layered_alerts": f"""WITH {_JOB_TABLES}, {_features('f')}, a AS (
+{_audit_select(_VIEWS, 'silver', 'prints', _event_checks())}
+UNION ALL
+{_audit_select(_CLICKS, 'silver', 'taps', _event_checks())}
+UNION ALL
+{_audit_select(_PURCHASES, 'silver', 'pays', _PAYMENT_CHECKS)}
+UNION ALL
+{_audit_select('f', 'gold', 'click_features', _FEATURE_CHECKS)}
+)
+SELECT 'dq_critical_failures' AS alert,
+  CAST(sum(CASE WHEN action = 'fail' AND failed_rows > 0 THEN 1 ELSE 0 END) AS DOUBLE) AS value,
+  CAST(0 AS DOUBLE) AS threshold, sum(CASE WHEN action = 'fail' THEN failed_rows ELSE 0 END) > 0 AS triggered
+FROM a
+UNION ALL
+SELECT 'dq_failure_rate', max(round(failure_rate * 100, 2)), CAST(1 AS DOUBLE),
+  max(round(failure_rate * 100, 2)) > 1 FROM a""",
 }

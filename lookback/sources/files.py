@@ -41,6 +41,12 @@ def with_lineage(df: DataFrame, clock: dt.datetime | None = None) -> DataFrame:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system its path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def is_path(target: str) -> bool:
     return "/" in target
 

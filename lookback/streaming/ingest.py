@@ -8,6 +8,10 @@ from pyspark.sql.types import StructType
 from lookback.sources.files import is_path, with_lineage
 
 
+#: A hundred years.
+NEVER = "36500d"
+
+
 def stream_files(
     spark: SparkSession,
     folder: str,
@@ -15,8 +19,14 @@ def stream_files(
     fmt: str = "json",
     max_files: int | None = None,
 ) -> DataFrame:
-    """Stream of a landing folder's files with lineage; the schema is never inferred."""
-    reader = spark.readStream.schema(schema)
+    """Stream of a landing folder's files with lineage; the schema is never inferred.
+
+    The file source by itself forgets, and for good skips, files older than a week before
+    the newest one. Here no file is too old: a late one is taken too. The price is that
+    the checkpoint keeps the names of all files ever seen, some hundred bytes each, so
+    landing files that are done with should be moved away at times.
+    """
+    reader = spark.readStream.schema(schema).option("maxFileAge", NEVER)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     if max_files:

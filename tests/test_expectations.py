@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lookback import DataQualityError, Expectation, apply_expectations, schemas
+from lookback.functions.scalar import to_units
 from lookback.operators import audit
 from lookback.operators.expectations import (
     TableConstraints,
     audit_frame,
+    constraint_audit,
     evaluate,
     expect,
     expect_all_or_drop,
@@ -18,7 +20,7 @@ from lookback.operators.expectations import (
     keep_valid,
     key_duplicates,
     quarantined,
-    summary,
+    report,
 )
 from lookback.operators.publish import append_rows, load
 from lookback.plans import rules
@@ -32,7 +34,13 @@ AT = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
 @pytest.fixture
 def faulty(spark):
     return spark.createDataFrame(
-        [(1, "point", 10.0), (2, "point", -5.0), (None, "point", 1.0), (4, None, 1.0)],
+        [
+            (31, "transport", 7.25),
+            (32, "transport", -0.75),
+            (None, "prepaid", 2.5),
+            (34, None, 0.0),
+            (35, "prepaid", 40.0),
+        ],
         "user_id long, value_prop string, total double",
     )
 
@@ -40,27 +48,27 @@ def faulty(spark):
 def test_counts_per_rule_and_total(faulty):
     assert evaluate(faulty, [USER, CATEGORY, TOTAL]) == (
         {"user": 1, "category": 1, "total": 1},
-        4,
+        5,
     )
 
 
 def test_drop_keeps_the_valid_rows(spark, faulty):
     drop = Expectation("total", "total >= 0", "drop")
     kept = apply_expectations(spark, faulty, [drop], "silver", "pays")
-    assert kept.count() == 3 and kept.where("total < 0").count() == 0
+    assert kept.count() == 4 and kept.where("total < 0").count() == 0
 
 
 def test_fail_raises(spark, faulty):
-    with pytest.raises(DataQualityError, match="user=1"):
+    with pytest.raises(DataQualityError, match="user on 1 rows"):
         apply_expectations(spark, faulty, [USER], "silver", "pays")
 
 
 def test_warn_keeps_all_rows(spark, faulty):
-    assert apply_expectations(spark, faulty, [TOTAL], "silver", "pays").count() == 4
+    assert apply_expectations(spark, faulty, [TOTAL], "silver", "pays").count() == 5
 
 
 def test_clean_rows_pass(spark, faulty):
-    clean = faulty.where("user_id = 1")
+    clean = faulty.where("user_id = 31")
     assert apply_expectations(spark, clean, [USER], "silver", "pays").count() == 1
 
 
@@ -101,9 +109,42 @@ def test_empty_input_passes_with_rate_zero(spark, faulty):
     assert evaluate(faulty.limit(0), [TOTAL]) == ({"total": 0}, 0)
 
 
-def test_summary_has_a_line_per_rule(faulty):
-    text = summary(audit_frame(faulty, [USER, TOTAL], "silver", "pays", "r", AT).collect(), "pays")
-    assert len(text.splitlines()) == 3 and "1 of 4 (25.00%)" in text
+def test_report_puts_what_blocks_first(faulty):
+    fine = Expectation("fine", "true", "fail")
+    rows = report(audit_frame(faulty, [TOTAL, fine, USER, CATEGORY], "silver", "pays", "r", AT))
+    found = [(r.severity, r.expectation, r.bad_pct) for r in rows.collect()]
+    assert found == [
+        ("blocking", "user", 20.0),
+        ("removed", "category", 20.0),
+        ("noted", "total", 20.0),
+        ("fine", "fine", 0.0),
+    ]
+
+
+def test_error_carries_the_violations(spark, faulty):
+    with pytest.raises(DataQualityError) as caught:
+        apply_expectations(spark, faulty, [USER, TOTAL], "silver", "pays")
+    assert caught.value.table == "pays" and caught.value.violations == {"user": 1}
+
+
+def test_nan_amounts_are_violations(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "total double")
+    (rule,) = [r for r in rules.payment_rules() if r.name == "total_non_negative"]
+    assert evaluate(df, [rule])[0] == {"total_non_negative": 1}
+    (row,) = df.where("isnan(total)").select(to_units("total", 2).alias("u")).collect()
+    assert row.u is None
+
+
+def test_missing_category_can_be_kept():
+    (rule,) = [r for r in rules.payment_rules(null_category="warn") if r.name == "value_prop_not_null"]
+    assert rule.action == "warn"
+
+
+def test_constraints_check_the_key_too(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (2, None)], "a int, b int")
+    made = TableConstraints(["a"], {"positive": "a > 0"}, ["a", "b"])
+    rows = {r.expectation: r.failed_rows for r in constraint_audit(df, made, "gold", "t", "r").collect()}
+    assert rows == {"a_not_null": 0, "b_not_null": 1, "positive": 0, "pk_unique": 1}
 
 
 def test_audit_row_has_the_declared_schema(faulty):
@@ -111,8 +152,8 @@ def test_audit_row_has_the_declared_schema(faulty):
     assert df.columns == schemas.AUDIT.names
     assert [f.dataType for f in df.schema] == [f.dataType for f in schemas.AUDIT]
     assert {(r.expectation, r.failure_rate, r.passed) for r in df.collect()} == {
-        ("user", 0.25, False),
-        ("total", 0.25, False),
+        ("user", 0.2, False),
+        ("total", 0.2, False),
     }
 
 
@@ -140,7 +181,7 @@ def test_key_check_counts_null_parts(spark):
 
 def test_primary_key_violation_stops_the_job(spark):
     df = spark.createDataFrame([(1,), (1,)], "a int")
-    with pytest.raises(DataQualityError, match="pk_unique=1"):
+    with pytest.raises(DataQualityError, match="pk_unique on 1 rows"):
         apply_expectations(spark, df, [], "gold", "t", primary_key=["a"])
 
 
@@ -202,7 +243,7 @@ def test_gate_speaks_for_the_newest_run_only(spark):
     assert [r.dq_gate for r in audit.dq_gate(log).collect()] == ["DQ OK"]
     audit.require_no_breach(log)
     worse = log.unionByName(log_rows(spark, [("c", 2, "a", "fail", 1)]))
-    with pytest.raises(Exception, match="1 critical rules violated"):
+    with pytest.raises(Exception, match="gate closed by t\\.\\w+"):
         audit.dq_gate(worse).collect()
     with pytest.raises(DataQualityError):
         audit.require_no_breach(worse)
@@ -244,7 +285,8 @@ def test_audit_by_group_gives_one_run_per_value(spark, faulty):
         by="value_prop",
     )
     assert {(r.run_id, r.total_rows, r.failed_rows) for r in runs.collect()} == {
-        ("point", 3, 1),
+        ("transport", 2, 1),
+        ("prepaid", 2, 0),
         ("none", 1, 0),
     }
 

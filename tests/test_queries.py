@@ -24,7 +24,7 @@ def test_contract_serves_the_catalog():
 
 def test_every_sql_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"click_model_scores"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -34,10 +34,5 @@ def test_query_equals_its_sql(spark, con, name):
     assert not only_spark and not only_sql
 
 
-def test_model_scores_have_a_row_per_test_key(spark):
-    scored = QUERIES["click_model_scores"](spark, SF_DIR)
-    assert scored.count() > 0
-
-
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0

@@ -189,6 +189,8 @@ def dedup_lines(
         "lines-all",
     )
     seen = every.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    # Written: the join then sits on its own shuffles, where AQE can split a common line.
+    seen = staged(seen, "lines-seen")
     lines = staged(every.join(seen, ["h1", "h2"]), "lines-repeated")
     ranges = deleted_ranges(lines, min_words).select(F.col("row").alias("lb_row"), F.col("ranges").alias("lb_ranges"))
     pieces = F.split(F.col(text_col), "\n")

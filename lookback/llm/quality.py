@@ -320,6 +320,8 @@ def judge(
             "host_s",
         )
     )
+    # Written, so that its size is known and a small table spares the texts a shuffle.
+    sites = staged(sites, "quality-means")
     at = F.col("lb_host").eqNullSafe(F.col("at_host")) & F.col("lb_path").eqNullSafe(F.col("at_path"))
     own = F.col("doc_score")
     host_mean = (F.lit(k_host * mean) + F.col("host_s") - own) / (k_host + F.col("host_n") - 1)

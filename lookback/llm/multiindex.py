@@ -229,6 +229,7 @@ def similar_groups(
             F.ceil(F.col("holds") / PART).cast("int").alias("hold_parts"),
         )
     )
+    sides = staged(sides, "index-sides")
     columns = ["embedding", "cid", "n", "cell", "visits"]
     part = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -364,7 +364,7 @@ def _windows(target: np.ndarray, before: np.ndarray, size: int, steps: int):
 
 
 def _learn(
-    net: Network, target: np.ndarray, before: np.ndarray, steps: int, rate: float, least: int = 1024
+    net: Network, target: np.ndarray, before: np.ndarray, steps: int, rate: float, least: int
 ) -> Network:
     """One pass over packed documents, the state carried from window to window.
 
@@ -396,7 +396,9 @@ def _learn(
     return net
 
 
-def train_round(coded: DataFrame, net: Network, *, streams: int, steps: int, rate: float) -> Network:
+def train_round(
+    coded: DataFrame, net: Network, *, streams: int, steps: int, rate: float, least: int
+) -> Network:
     """Every task learns from its documents, starting alike; the weights are averaged.
 
     Averages are by tokens, over pieces of the weights, first within groups of tasks and
@@ -415,7 +417,7 @@ def train_round(coded: DataFrame, net: Network, *, streams: int, steps: int, rat
         mine, seen, group = Network(p), 0, 0
         for rows, docs in _packs(batches):
             target, before, _ = packed(docs, streams)
-            mine = _learn(mine, target, before, steps, rate)
+            mine = _learn(mine, target, before, steps, rate, least)
             seen += int((target >= 0).sum())
             group = int(rows[0]) >> 33
         if seen:
@@ -480,6 +482,7 @@ def score_documents(
     streams: int = 256,
     steps: int = 16,
     rate: float = 5e-3,
+    least: int = 1024,
     seed: int = 42,
 ) -> DataFrame:
     """Base and model score of every whole text.
@@ -520,7 +523,7 @@ def score_documents(
     turn = F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(16))
     for low, high in ROUNDS:
         some = coded.where(~F.col("held_out") & (turn >= low) & (turn < high))
-        net = train_round(some, net, streams=streams, steps=steps, rate=rate)
+        net = train_round(some, net, streams=streams, steps=steps, rate=rate, least=least)
     scored = log_likelihoods(coded, net, streams=streams, steps=steps)
     tail = coded.select("row", F.explode(F.arrays_zip("words", "ns")).alias("w"))
     tail = tail.select("row", F.col("w.words").alias("word"), F.col("w.ns").alias("k"))

@@ -178,9 +178,8 @@ def near_links(classes: DataFrame, radius: int) -> DataFrame:
             )
         ).alias("s"),
     ).select("fp", "s.combo", "s.band")
-    sizes = (
-        shards.groupBy("combo", "band").agg(F.count("*").alias("n")).where("n > 1")
-    )
+    sizes = shards.groupBy("combo", "band").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = staged(sizes, "simhash-sizes")
     parts = F.ceil(F.col("n") / PART).cast("int")
     mine = F.pmod(F.xxhash64("fp"), "parts").cast("int")
     spread = (

@@ -101,6 +101,7 @@ def write_warc(
         .where("n > 1")
         .select("digest", "bytes", F.col("first.capture").alias("first"))
     )
+    firsts = staged(firsts, "warc-firsts")
     again = (
         rows.select("capture", "digest", "bytes")
         .join(firsts, ["digest", "bytes"])

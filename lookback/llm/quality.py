@@ -330,7 +330,8 @@ def judge(
     logit = lambda p: F.log(clip(p) / (1 - clip(p)))
     odds = logit(own) + logit(F.col("site_score")) - F.lit(math.log(mean / (1 - mean)))
     judged = scored.join(sites, at, "left").withColumn("site_score", site_mean)
-    judged = judged.withColumn("quality", 1 / (1 + F.exp(-odds)))
+    # Without a score there is no posterior either: greatest() would skip the null.
+    judged = judged.withColumn("quality", F.when(own.isNotNull(), 1 / (1 + F.exp(-odds))))
     return judged.withColumn("kept", F.coalesce(F.col("quality") >= threshold, F.lit(False))).select(
         *names, "doc_score", "site_score", "quality", "kept"
     )

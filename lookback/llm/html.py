@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -218,23 +219,36 @@ class Page:
 
 PARSED = (
     "core long, blocks array<struct<text:string,main:boolean,furniture:boolean>>, "
-    "elements array<struct<hash:bigint,start:int,stop:int>>"
+    "elements array<struct<hash:bigint,start:int,stop:int,live:boolean>>"
 )
 
 
 def parsed(html: Column) -> Column:
-    """Struct of the blocks and elements (``PARSED``) of a page; none for null or empty."""
+    """Struct of the blocks and elements (``PARSED``) of a page; none for null or empty.
+
+    Blocks outside the main text have a null text; ``live`` elements hold main text.
+    """
     kind = ",".join(f"{p.split(' ')[0]}:{p.split(' ')[1]}" for p in PARSED.split(", "))
     block = pa.struct([("text", pa.string()), ("main", pa.bool_()), ("furniture", pa.bool_())])
-    element = pa.struct([("hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
+    element = pa.struct(
+        [("hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("live", pa.bool_())]
+    )
     whole = pa.struct([("core", pa.int64()), ("blocks", pa.list_(block)), ("elements", pa.list_(element))])
 
     def one(text: str | None) -> dict:
         page = Page(text or "")
+        held = [main and not furniture for _, main, furniture in page.blocks]
+        upto = [0, *accumulate(held)]
         return {
             "core": page.core,
-            "blocks": [dict(zip(("text", "main", "furniture"), b, strict=True)) for b in page.blocks],
-            "elements": [dict(zip(("hash", "start", "stop"), e, strict=True)) for e in page.elements],
+            "blocks": [
+                {"text": text if keep else None, "main": main, "furniture": furniture}
+                for keep, (text, main, furniture) in zip(held, page.blocks, strict=True)
+            ],
+            "elements": [
+                {"hash": value, "start": start, "stop": stop, "live": upto[stop] > upto[start]}
+                for value, start, stop in page.elements
+            ],
         }
 
     @F.arrow_udf(f"struct<{kind}>")
@@ -260,12 +274,12 @@ def main_text(
     min_pages: int = 5,
     min_share: float = 0.05,
 ) -> DataFrame:
-    """Main text of every page: (``id_col``, ``url_col``, ``text``, ``n_chars``, ``n_template``).
+    """Main text of every page: (``id_col``, ``url_col``, ``text``, ``n_chars``).
 
     Pages are read into block-level elements and blocks of text (character references
     decoded, white space made single spaces). Every element's subtree is hashed; one that
     occurs with ``min_pages`` or more different main texts of its host, and with at least
-    ``min_share`` of them, is a template's and its blocks go (``n_template`` counts them).
+    ``min_share`` of them, is a template's and its blocks go.
     Copies of one article count once, so that copied articles are no template. Then what
     navigation, header, footer, side, form, notice, advert or comment elements hold goes,
     by element, role, class and id, and if the page has an article (else a main) element,
@@ -275,7 +289,9 @@ def main_text(
     without a name. Repeated rows stay, one result each. No rows give no rows.
 
     The counting is keyed by host and subtree and combined before the shuffle, so a host
-    with a third of all pages is spread over all tasks.
+    with a third of all pages is spread over all tasks. Of the templates only what they
+    put into main texts meets the pages again, by its measured size: where articles are
+    marked that is little, and the texts are not shuffled.
     """
     rows = staged(
         pages.select(
@@ -286,9 +302,10 @@ def main_text(
             parsed(F.col(html_col)).alias("p"),
         ).select("row", "id", "url", "host", "p.core", "p.blocks", "p.elements"),
         "html-pages",
+        "zstd",
     )
     parts = rows.select("row", "host", "core", F.explode("elements").alias("e")).select(
-        "row", "host", "core", "e.hash", "e.start", "e.stop"
+        "row", "host", "core", "e.hash", "e.start", "e.stop", "e.live"
     )
     hosts = rows.select("host", "core").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     often = (
@@ -304,10 +321,13 @@ def main_text(
         .select("host", "hash")
     )
     gone = (
-        parts.join(templates, ["host", "hash"])
+        parts.where("live")
+        .join(templates, ["host", "hash"])
         .groupBy("row")
         .agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
     )
+    # Written, so that its size is known before the texts would be shuffled for it.
+    gone = staged(gone, "html-gone")
     within = lambda i: F.exists("ranges", lambda r: (i >= r["start"]) & (i < r["stop"]))
     left = F.when(F.col("ranges").isNull(), F.col("blocks")).otherwise(
         F.filter("blocks", lambda _, i: ~within(i))
@@ -325,6 +345,5 @@ def main_text(
             F.col("url").alias(url_col),
             "text",
             F.length("text").cast("long").alias("n_chars"),
-            (F.size("blocks") - F.size("left")).cast("long").alias("n_template"),
         )
     )

@@ -1,0 +1,108 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from lookback.llm.mixing import mix
+
+
+def levels():
+    return {"domain": F.substring("source", 4, 1), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def shares(budget, children):
+    """Water-filling by repetition: (weight, capacity) per child."""
+    given = {c: 0.0 for c in children}
+    live = {c for c, (w, cap) in children.items() if cap > 0}
+    while budget > 1e-9 and live:
+        total = sum(children[c][0] for c in live)
+        over = {c for c in live if given[c] + budget * children[c][0] / total >= children[c][1]}
+        if not over:
+            for c in live:
+                given[c] += budget * children[c][0] / total
+            return given
+        for c in over:
+            budget -= children[c][1] - given[c]
+            given[c] = children[c][1]
+        live -= over
+        # What was given to the others so far is nothing: shares start over.
+    return given
+
+
+def brute(rows, weights, share, epochs, seed=42):
+    docs = []
+    for d, text, lang, source in rows:
+        tokens = len((text or "").encode().split())
+        docs.append((d, (None if source is None else source[3:4], lang, source), tokens))
+    leaf = defaultdict(int)
+    for _, path, n in docs:
+        leaf[path] += n
+    budget = {(): share * sum(leaf.values())}
+    for depth, level in enumerate(("domain", "lang", "source"), 1):
+        groups = defaultdict(lambda: defaultdict(float))
+        for path, n in leaf.items():
+            groups[path[: depth - 1]][path[:depth]] += n * epochs
+        for parent, kids in groups.items():
+            w = weights.get(level, {})
+            budget |= shares(budget[parent], {k: (w.get(k[-1], 1.0), cap) for k, cap in kids.items()})
+    out = []
+    for path, total in leaf.items():
+        mine = [(d, n) for d, p, n in docs if p == path]
+        b = int(budget[path] + 1e-6)
+        whole = b // total if total else epochs
+        rest = b - whole * total
+        places = defaultdict(int)
+        for d, n in mine:
+            key = "" if d is None else str(d)
+            at = int(hashlib.md5(f"{seed}:{whole}:{key}".encode()).hexdigest()[:15], 16)
+            places[at, key] += n
+        taken, run = set(), 0
+        for at in sorted(places):
+            run += places[at]
+            if run > rest:
+                break
+            taken.add(at[1])
+        for d, n in mine:
+            more = rest > 0 and ("" if d is None else str(d)) in taken
+            if whole + more:
+                out.append((d, n, whole + more))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("share, epochs", [(0.5, 1), (0.9, 3), (3.0, 2), (0.01, 4)])
+def test_equals_brute_force(edge_docs, share, epochs):
+    weights = {"domain": {"1": 3.0}, "lang": {"en": 2.0}}
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in edge_docs.collect()]
+    got = mix(edge_docs, levels=levels(), weights=weights, share=share, max_epochs=epochs)
+    assert got.columns[: len(edge_docs.columns)] == edge_docs.columns
+    found = sorted(((r.doc_id, r.lb_tokens, r.lb_epochs) for r in got.collect()), key=str)
+    assert found == brute(rows, weights, share, epochs)
+
+
+def test_shortage_goes_to_siblings_first(spark):
+    rows = [("src1", "en", 10), ("src1", "de", 100), ("src2", "en", 200)]
+    docs = [
+        (i * 1000 + k, "w", lang, source)
+        for i, (source, lang, n) in enumerate(rows)
+        for k in range(n)
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = mix(df, levels=levels(), share=0.4, max_epochs=1).groupBy("source", "lang").count().collect()
+    # 124 words: 62 to each domain; src1/en lacks 21 of its 31, which src1/de takes.
+    assert {(r.source, r.lang): r["count"] for r in got} == {
+        ("src1", "en"): 10,
+        ("src1", "de"): 52,
+        ("src2", "en"): 62,
+    }
+
+
+def test_no_rows(no_docs):
+    assert mix(no_docs, levels=levels()).count() == 0
+
+
+def test_does_not_depend_on_partitioning(edge_docs):
+    one = mix(edge_docs.coalesce(1), levels=levels(), share=0.5)
+    many = mix(edge_docs.repartition(7), levels=levels(), share=0.5)
+    key = lambda df: sorted((str(r.doc_id), r.lb_epochs) for r in df.collect())
+    assert key(one) == key(many)

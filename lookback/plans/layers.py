@@ -122,11 +122,12 @@ def _raw(cfg: PipelineConfig, name: str) -> tuple[str, str | None]:
 
 
 def read_landing(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
-    """Landing files of one source as they are, with lineage."""
+    """Landing files of one source as they are, with lineage. ``_malformed`` keeps the text
+    of broken lines, so that there is something to look at when a rule stops the run."""
     if name == "pays":
         rows = read_csv(spark, cfg.source(name), schemas.PAYMENT_LANDING)
     else:
-        rows = read_jsonl(spark, cfg.source(name), schemas.EVENT_LANDING)
+        rows = read_jsonl(spark, cfg.source(name), schemas.EVENT_LANDING, "_malformed")
     return rows.transform(with_lineage)
 
 

@@ -6,14 +6,20 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lookback.functions.scalar import now, to_type
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One JSON object per line. A malformed line becomes a row of NULLs."""
-    return spark.read.schema(schema).json(path)
+def read_jsonl(
+    spark: SparkSession, path: str, schema: StructType, malformed: str | None = None
+) -> DataFrame:
+    """One JSON object per line. A malformed line becomes a row of NULLs; ``malformed``
+    names a further column that keeps its text."""
+    if not malformed:
+        return spark.read.schema(schema).json(path)
+    kept = StructType([*schema.fields, StructField(malformed, StringType())])
+    return spark.read.schema(kept).option("columnNameOfCorruptRecord", malformed).json(path)
 
 
 def read_csv(

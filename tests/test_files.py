@@ -34,6 +34,13 @@ def test_malformed_json_line_and_bad_scalar_become_nulls(spark, folder):
     assert [r.event_data.position for r in got if r.user_id == 8] == [None]
 
 
+def test_malformed_line_keeps_its_text(spark, folder):
+    path = f"{folder}/a.json"
+    write(path, GOOD, "{broken")
+    rows = read_jsonl(spark, path, schemas.EVENT_LANDING, "_malformed").collect()
+    assert sorted(r._malformed or "" for r in rows) == ["", "{broken"]
+
+
 def test_malformed_date_becomes_null_and_not_an_error(spark, folder):
     path = write(f"{folder}/p.json", GOOD, GOOD.replace("2020-11-01", "someday"))
     got = flatten_events(read_jsonl(spark, path, schemas.EVENT_LANDING))

@@ -10,7 +10,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lookback import schemas
 from lookback.functions.scalar import stable_bucket

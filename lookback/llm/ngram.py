@@ -150,6 +150,8 @@ def kneser_ney(counts: DataFrame, order: int) -> tuple[list[DataFrame], list[Dat
             .agg(*(few(k).alias(f"n{k}") for k in range(1, 5)))
             .select("lang", cut(1, "n1", "n2").alias("d1"), cut(2, "n2", "n3").alias("d2"), cut(3, "n3", "n4").alias("d3"))
         )
+        # Written, so that its size is known: a row per language is broadcast at once.
+        discounts = staged(discounts, "kn-discounts")
         rows = types[m].join(discounts, "lang").withColumn("context", F.shiftright("gram", 8))
         cutoff = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         rows = rows.withColumn("cut", cutoff)

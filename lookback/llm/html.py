@@ -279,11 +279,11 @@ def main_text(
     Pages are read into block-level elements and blocks of text (character references
     decoded, white space made single spaces). Every element's subtree is hashed; one that
     occurs with ``min_pages`` or more different main texts of its host, and with at least
-    ``min_share`` of them, is a template's and its blocks go.
-    Copies of one article count once, so that copied articles are no template. Then what
-    navigation, header, footer, side, form, notice, advert or comment elements hold goes,
-    by element, role, class and id, and if the page has an article (else a main) element,
-    what is outside it. The remaining blocks are joined by two line ends.
+    ``min_share`` of them, is a template's and its blocks go. Copies of one article count
+    once, so that copied articles are no template. Then what navigation, header, footer,
+    side, form, notice, advert or comment elements hold goes, by element, role, class and
+    id, and if the page has an article (else a main) element, what is outside it. The
+    remaining blocks are joined by two line ends.
 
     A null or empty page has an empty text. A null or strange url counts as the host
     without a name. Repeated rows stay, one result each. No rows give no rows.

@@ -69,12 +69,19 @@ def suffix_levels(lines: DataFrame) -> list[DataFrame]:
 
 
 def repeated_runs(lines: DataFrame) -> DataFrame:
-    """For every place that starts a later copy: the run's length and first occurrence.
-
-    The longest power of two for which the lines from a place occurred earlier gives the
-    interval; the run is the longest common prefix with the interval's first suffix,
-    found by going down the levels and comparing ranks. Rows (``row``, ``line``,
-    ``to_row``, ``to_line``, ``len``).
+    """For every place that starts a later copy: the longest run that occurred earlier.
+
+    Rows (``row``, ``line``, ``to_row``, ``to_line``, ``len``): the first ``len`` lines from
+    a place occur first at ``to_row``, ``to_line``, and one line more occurs nowhere earlier.
+
+    A place starts with the longest power of two of lines that occurred earlier. Going down
+    the levels, ``len`` and the first occurrence name the class of places that share these
+    lines, and a place whose next ``2**k`` lines follow at an earlier place of its class
+    too grows by them: with the class's first place, or else with the earliest of the
+    places that go on alike, which becomes the first of a class of its own. Places that
+    have grown leave their class; whoever shares no more than the class's lines and fewer
+    than the grown ones' next lines with them shares them with the first of those as well,
+    which stays.
     """
     levels = suffix_levels(lines)
     later = None
@@ -90,7 +97,7 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
             F.col("line").alias("to_line"),
             F.lit(0).cast("long").alias("len"),
         ).limit(0)
-    runs = staged(
+    start = staged(
         later.groupBy(*AT)
         .agg(F.max("top").alias("top"))
         .select(
@@ -102,18 +109,54 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
         ),
         "lines-runs",
     )
+    names = [*AT, "to_row", "to_line", "len"]
+    alike = ["to_row", "to_line", "len", "own"]
+    runs = start.where(F.col("k") == len(levels) - 1).select(*names)
     for k in range(len(levels) - 2, -1, -1):
-        own = levels[k].select(F.col("row").alias("o_row"), F.col("line").alias("o_line"), F.col("rank").alias("own"))
+        own = levels[k].select(
+            F.col("row").alias("o_row"), F.col("line").alias("o_line"), "late", "doc", F.col("rank").alias("own")
+        )
         other = levels[k].select(F.col("row").alias("t_row"), F.col("line").alias("t_line"), F.col("rank").alias("other"))
-        open_runs = runs.where(F.col("k") > k)
-        longer = (
-            open_runs.join(own, (F.col("row") == F.col("o_row")) & (F.col("line") + F.col("len") == F.col("o_line")), "left")
+        same = F.col("own").eqNullSafe(F.col("other"))
+        known = F.col("own").isNotNull()
+        met = (
+            runs.join(own, (F.col("row") == F.col("o_row")) & (F.col("line") + F.col("len") == F.col("o_line")), "left")
             .join(other, (F.col("to_row") == F.col("t_row")) & (F.col("to_line") + F.col("len") == F.col("t_line")), "left")
-            .withColumn("len", F.col("len") + F.when(F.col("own") == F.col("other"), 1 << k).otherwise(0))
-            .select(*runs.columns)
+            .select(
+                *AT,
+                "to_row",
+                "to_line",
+                (F.col("len") + F.when(same & known, 1 << k).otherwise(0)).alias("len"),
+                *(F.when(~same & known, F.col(c)).alias(c) for c in ("own", "late", "doc")),
+            )
+        )
+        met = staged(met, "lines-runs")
+        apart = met.where("own IS NOT NULL")
+        groups = (
+            apart.groupBy(*alike)
+            .agg(F.count("*").alias("n"), F.min(F.struct("late", "doc", *AT)).alias("first"))
+            .where("n > 1")
+            .select(*alike, F.col("first.row").alias("f_row"), F.col("first.line").alias("f_line"))
+        )
+        # Written: the join then sits on its own shuffles, where AQE can split a group.
+        groups = staged(groups, "lines-groups")
+        grows = F.expr("f_row IS NOT NULL AND (row <> f_row OR line <> f_line)")
+        regrouped = staged(
+            apart.join(groups, alike, "left").select(
+                *AT,
+                F.when(grows, F.col("f_row")).otherwise(F.col("to_row")).alias("to_row"),
+                F.when(grows, F.col("f_line")).otherwise(F.col("to_line")).alias("to_line"),
+                (F.col("len") + F.when(grows, 1 << k).otherwise(0)).alias("len"),
+            ),
+            "lines-runs",
+        )
+        runs = (
+            met.where("own IS NULL")
+            .select(*names)
+            .unionByName(regrouped)
+            .unionByName(start.where(F.col("k") == k).select(*names))
         )
-        runs = staged(longer.unionByName(runs.where(F.col("k") <= k)), "lines-runs")
-    return runs.select(*AT, "to_row", "to_line", "len")
+    return runs
 
 
 def deleted_ranges(lines: DataFrame, min_words: int) -> DataFrame:
@@ -157,9 +200,8 @@ def dedup_lines(
 
     Lines end at ``\\n``. For every place the longest run of lines (within its row) that
     occurred earlier is found, earlier meaning in a row of smaller id (null last; rows
-    that repeat an id in the order read) or further up in the same row. More exactly, the
-    run is the common prefix with the first occurrence of the longest power of two of
-    lines that occurred earlier. Runs of ``min_words`` words or more are deleted; the
+    that repeat an id in the order read) or further up in the same row: the longest common
+    prefix with any earlier place. Runs of ``min_words`` words or more are deleted; the
     first occurrence stays, shorter runs stay everywhere.
 
     All columns are kept. ``text_col`` holds the remaining lines (an empty text if none

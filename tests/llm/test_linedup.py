@@ -79,3 +79,55 @@ def test_edge_rows(edge_docs, no_docs):
     got = dedup_lines(edge_docs, min_words=10)
     assert Counter((r.doc_id, r.text, r.lb_deleted) for r in got.collect()) == brute(rows, 10)
     assert dedup_lines(no_docs).count() == 0
+
+
+def brute_longest(rows, least):
+    """Deleted lines per row: the longest match of every place with any earlier place."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    lines = [[] if t is None else t.split("\n") for _, t in rows]
+    places, gone = [], [set() for _ in rows]
+    for i in order:
+        own = lines[i]
+        for s in range(len(own)):
+            best = 0
+            for j, t in places:
+                n = 0
+                while s + n < len(own) and t + n < len(lines[j]) and own[s + n] == lines[j][t + n]:
+                    n += 1
+                best = max(best, n)
+            if best and sum(len(x.encode().split()) for x in own[s : s + best]) >= least:
+                gone[i] |= set(range(s, s + best))
+            places.append((i, s))
+    return Counter(
+        (d, None if t is None else "\n".join(x for n, x in enumerate(own) if n not in out), len(out))
+        for (d, t), own, out in zip(rows, lines, gone, strict=True)
+    )
+
+
+def check_longest(spark, rows, least):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = Counter((r.doc_id, r.text, r.lb_deleted) for r in dedup_lines(docs, min_words=least).collect())
+    assert got == brute_longest(rows, least)
+
+
+def test_longer_match_than_with_the_first_place_of_the_leading_lines(spark):
+    a, b, c, x = (" ".join(f"{name}{i}" for i in range(20)) for name in "abcx")
+    docs = [(1, "\n".join([a, b, x])), (2, "\n".join([a, b, c])), (3, "\n".join([a, b, c]))]
+    got = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.lb_deleted for r in got} == {1: 0, 2: 0, 3: 3}
+
+
+def test_longest_match_with_any_earlier_place(spark):
+    rng = random.Random(11)
+    bodies = [[f"{b} {i} of it" for i in range(23)] for b in range(3)]
+    for b in bodies:
+        b[:5] = ["top", "of all", "pages here", "and", "so on"]
+    rows = []
+    for i in range(60):
+        body = rng.choice(bodies)
+        start = rng.randrange(0, 8)
+        own = body[start : start + rng.randint(1, 16)]
+        rows.append((rng.randrange(50), "\n".join([*own, *rng.choice(bodies)[: rng.randrange(9)], f"end {i % 7}"])))
+    check_longest(spark, rows, 24)
+    few = ["a b", "c", "d e f", "", "g h i"]
+    check_longest(spark, [(i % 30, "\n".join(rng.choice(few) for _ in range(rng.randint(1, 20)))) for i in range(40)], 12)

@@ -151,6 +151,7 @@ def similar_groups(
     min_visits: int = 8,
     sample_rows: int = 8192,
     probes: int = 512,
+    min_links: int = 1000,
     seed: int = 42,
 ) -> DataFrame:
     """Links and groups of vectors whose cosine is ``threshold`` or more.
@@ -163,7 +164,10 @@ def similar_groups(
     cell per ``per_cell`` classes, so cells keep their size when the data grow. Every
     class is indexed in its nearest cell. Its multi-sequence traversal visits cells
     nearest first until the target ``recall``: how many that takes is measured with
-    ``probes`` classes against all others (twice the count, at least ``min_visits``).
+    ``probes`` classes against all others (twice the count, at least ``min_visits``), and
+    with more, up to the whole sample, while these have fewer than ``min_links`` links.
+    If even the sample has fewer, all of them must be met, and ``recall`` also of pairs
+    made up at the threshold itself, in random directions, to fill the number.
     Whatever the visited cells hold is verified by its exact cosine. A link counts for
     both its ends, whichever one's traversal met it. Blocks of a cell return a count per
     class and a spanning forest, never pairs; a cell over ``PART`` members or queries is
@@ -198,8 +202,9 @@ def similar_groups(
     units, widths = _units(sample["embedding"].to_numpy(), size)
     words = max(1, math.ceil(math.sqrt(total["n"] / per_cell)))
     grid = Grid(units, words, seed)
-    probe = (units[:probes], widths[:probes], sample["cid"].to_numpy()[:probes])
-    visits = min(grid.cells, max(min_visits, 2 * _depth(classes, grid, probe, threshold, recall)))
+    probe = (units, widths, sample["cid"].to_numpy())
+    depth = _depth(classes, grid, probe, threshold, recall, probes, min_links, seed)
+    visits = min(grid.cells, max(min_visits, 2 * depth))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,8 +293,52 @@ def similar_groups(
     )
 
 
-def _depth(classes: DataFrame, grid: Grid, probe, threshold: float, recall: float) -> int:
-    """Cells that the probes' traversals visit to meet ``recall`` of their true links."""
+def _depth(
+    classes: DataFrame, grid: Grid, sample, threshold: float, recall: float, probes: int, min_links: int, seed: int
+) -> int:
+    """Cells that the probes' traversals visit to meet ``recall`` of ``min_links`` links or more."""
+    met, upto = {}, 0
+    while upto < len(sample[0]) and sum(met.values()) < min_links:
+        start, upto = upto, max(probes, 2 * upto)
+        for rank, n in _link_ranks(classes, grid, [s[start:upto] for s in sample], threshold):
+            met[rank] = met.get(rank, 0) + n
+    links = sum(met.values())
+    depth = _reach(met, recall if links >= min_links else 1.0)
+    if links < min_links:
+        made = _made_ranks(grid, sample[0], sample[1], threshold, min_links - links, seed)
+        depth = max(depth, _reach(dict(zip(*np.unique(made, return_counts=True), strict=True)), recall))
+    return depth
+
+
+def _reach(met: dict[int, int], recall: float) -> int:
+    """Least number of visits that meets ``recall`` of the links counted by rank."""
+    whole, seen = sum(met.values()), 0
+    for rank in sorted(met):
+        seen += met[rank]
+        if seen >= recall * whole:
+            return int(rank) + 1
+    return 0
+
+
+def _made_ranks(
+    grid: Grid, units: np.ndarray, widths: np.ndarray, threshold: float, n: int, seed: int
+) -> np.ndarray:
+    """Ranks of the cells of ``n`` vectors that have the cosine ``threshold`` with a sampled one."""
+    rng = np.random.default_rng(seed)
+    ranks = [np.empty(0, np.int64)]
+    for i in np.arange(n) % len(units):
+        aside = np.zeros(grid.size)
+        aside[: widths[i]] = rng.normal(size=widths[i])
+        aside -= (aside @ units[i]) * units[i]
+        other = threshold * units[i]
+        if (length := np.linalg.norm(aside)) > 1e-9:
+            other = other + math.sqrt(max(0.0, 1 - threshold**2)) * aside / length
+        ranks.append(grid.ranks(units[i], grid.traverse(other[None, :], 1)[0]))
+    return np.concatenate(ranks)
+
+
+def _link_ranks(classes: DataFrame, grid: Grid, probe, threshold: float) -> list[tuple[int, int]]:
+    """How many links of the probes have their other end in the cell of each rank."""
     units, widths, cids = probe
     size = grid.size
 
@@ -301,16 +350,12 @@ def _depth(classes: DataFrame, grid: Grid, probe, threshold: float, recall: floa
             x, own = _units(held, size)
             hit = (units @ x.T >= threshold) & (widths[:, None] == own)
             hit &= cids[:, None] != batch.column(0).to_numpy()
+            if not hit.any():
+                continue
             cells = grid.traverse(x, 1)[:, 0]
             ranks = [grid.ranks(units[i], cells[hit[i]]) for i in np.flatnonzero(hit.any(1))]
-            rank, n = np.unique(np.concatenate([[0], *ranks]).astype(np.int64), return_counts=True)
+            rank, n = np.unique(np.concatenate(ranks).astype(np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(n)], names=["rank", "n"])
 
     seen = classes.select("cid", "embedding").mapInArrow(run, "rank long, n long")
-    seen = seen.groupBy("rank").agg(F.sum("n").alias("n")).orderBy("rank").collect()
-    whole, met = sum(r["n"] for r in seen), 0
-    for r in seen:
-        met += r["n"]
-        if met >= recall * whole:
-            return r["rank"] + 1
-    return 1
+    return [(r["rank"], r["n"]) for r in seen.groupBy("rank").agg(F.sum("n").alias("n")).collect()]

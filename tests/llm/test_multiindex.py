@@ -81,3 +81,37 @@ def test_traversal_is_the_order_of_all_cells():
             want = np.sort(d)[:visits]
             assert np.allclose(np.array(d)[cells], want)
             assert grid.ranks(q, cells).tolist() == list(range(visits))
+
+
+def test_depth_counts_true_links_only(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 12))
+    near = x[:30] + 0.1 * rng.normal(size=(30, 12))
+    x = np.concatenate([x, near])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cids = np.arange(len(x))
+    grid = Grid(x, 20, 1)
+    # A partition for every few rows: far more batches than links.
+    classes = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(cids, x)], "cid long, embedding array<double>")
+    classes = classes.repartition(100)
+    probe = (x[:30], np.full(30, 12), cids[:30])
+    hit = (x[:30] @ x.T >= 0.9) & (cids[:30, None] != cids)
+    cells = grid.traverse(x, 1)[:, 0]
+    want = np.concatenate([grid.ranks(x[i], cells[hit[i]]) for i in range(30)])
+    assert hit.sum() > 5 and want.max() > 0
+    found = dict(multiindex._link_ranks(classes, grid, probe, 0.9))
+    assert found == dict(zip(*np.unique(want, return_counts=True)))
+    few = multiindex._depth(classes, grid, probe, 0.9, 0.9, 512, 1, 1)
+    assert few == np.sort(want)[int(np.ceil(0.9 * len(want))) - 1] + 1
+    # Too few links for the recall: all are met, however many batches there are.
+    assert multiindex._depth(classes, grid, probe, 0.9, 0.9, 512, 1000, 1) >= want.max() + 1
+
+
+def test_depth_without_links_is_measured_at_the_threshold(spark):
+    x = np.eye(16)
+    grid = Grid(np.random.default_rng(0).normal(size=(300, 16)), 12, 1)
+    classes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cid long, embedding array<double>")
+    probe = (x, np.full(16, 16), np.arange(16))
+    assert multiindex._link_ranks(classes, grid, probe, 0.9) == []
+    made = multiindex._made_ranks(grid, x, probe[1], 0.9, 100, 1)
+    assert multiindex._depth(classes, grid, probe, 0.9, 1.0, 512, 100, 1) == made.max() + 1 > 1

@@ -273,13 +273,15 @@ def main_text(
     html_col: str = "html",
     min_pages: int = 5,
     min_share: float = 0.05,
+    many_pages: int = 50,
 ) -> DataFrame:
     """Main text of every page: (``id_col``, ``url_col``, ``text``, ``n_chars``).
 
     Pages are read into block-level elements and blocks of text (character references
     decoded, white space made single spaces). Every element's subtree is hashed; one that
     occurs with ``min_pages`` or more different main texts of its host, and with at least
-    ``min_share`` of them, is a template's and its blocks go. Copies of one article count
+    ``min_share`` of them or ``many_pages``, whichever is fewer, is a template's and its
+    blocks go: on no host does a template need more. Copies of one article count
     once, so that copied articles are no template. Then what navigation, header, footer,
     side, form, notice, advert or comment elements hold goes, by element, role, class and
     id, and if the page has an article (else a main) element, what is outside it. The
@@ -317,7 +319,7 @@ def main_text(
     )
     templates = (
         often.join(hosts, "host")
-        .where(F.col("n") >= min_share * F.col("pages"))
+        .where((F.col("n") >= min_share * F.col("pages")) | (F.col("n") >= many_pages))
         .select("host", "hash")
     )
     gone = (

@@ -86,3 +86,12 @@ def test_copies_of_an_article_are_no_template(spark):
     rows += [(i, f"https://a.test/{i}", html.replace("Copied", f"Other {i}")) for i in range(30, 60)]
     got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert all(r.text.endswith("\n\nThe same everywhere") for r in got)
+
+
+def test_a_template_needs_no_more_pages_on_a_large_host(spark):
+    rows = [
+        (i, "https://a.test/", f"<body><div>Text {i}</div>{'<div>Campaign</div>' if i % 25 == 0 else ''}</body>")
+        for i in range(1500)
+    ]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text == f"Text {r.page_id}" for r in got)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -52,7 +53,7 @@ SCOPE = frozenset("article aside body div footer header html li main nav ol sect
 
 #: Elements, roles and words of class or id that mark what surrounds a text.
 FURNITURE_TAGS = frozenset(
-    "aside button dialog datalist fieldset footer form head legend menu nav object optgroup option "
+    "aside button dialog datalist fieldset footer head legend menu nav object optgroup option "
     "select svg".split()
 )
 FURNITURE_ROLES = frozenset(
@@ -67,6 +68,10 @@ FURNITURE_WORDS = re.compile(
     r"banner|toolbar|alert)(?![a-z])"
 )
 HEADER_WORDS = re.compile(r"(?:^|[^a-z])(?:header|topbar|head)(?![a-z])")
+#: Comments may be longer than the text they follow.
+COMMENT_WORDS = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|repl(?:y|ies)|respond|disqus)(?![a-z])")
+#: What a name says from such a word on is about the page's state or subject.
+STATE = re.compile(r"(?:^|[^a-z0-9])(?:has|have|is|no|not|with|without|hide|hidden|show|tag|category|cat|topic)[-_].*")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -76,20 +81,23 @@ def _attributes(text: str) -> dict[str, str]:
     }
 
 
-def _furniture(tag: str, attrs: str, in_article: bool) -> bool:
+def _furniture(tag: str, attrs: str, in_article: bool) -> str:
+    """Why an element is furniture: "sure", or "named", "form" or "comment", which may be wrong."""
     if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
-        return True
-    if not attrs or tag in ("html", "body", "main"):
-        return False
-    held = _attributes(attrs)
-    names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{held.get('class', '')} {held.get('id', '')}")
-    names = names.lower()
-    return (
-        "hidden" in held
-        or held.get("role", "").lower() in FURNITURE_ROLES
-        or bool(FURNITURE_WORDS.search(names))
-        or (not in_article and bool(HEADER_WORDS.search(names)))
-    )
+        return "sure"
+    if attrs and tag not in ("html", "body", "main"):
+        held = _attributes(attrs)
+        role = held.get("role", "").lower()
+        if "hidden" in held or role in FURNITURE_ROLES:
+            return "sure"
+        if tag != "article" and role != "main":
+            names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{held.get('class', '')} {held.get('id', '')}")
+            names = [STATE.sub("", name) for name in names.lower().split()]
+            if any(COMMENT_WORDS.search(name) for name in names):
+                return "comment"
+            if any(FURNITURE_WORDS.search(n) or (not in_article and HEADER_WORDS.search(n)) for n in names):
+                return "named"
+    return "form" if tag == "form" else ""
 
 
 class Page:
@@ -99,19 +107,29 @@ class Page:
     subtree, first block, end of its blocks) of those that a template may have put there:
     not the main part or what contains it, and within it no paragraphs, headings, items
     or cells, which are the author's even where they repeat.
+
+    Forms and elements that only their names make furniture are judged when the page has
+    been read: one that holds the article (if no article is outside of all of them), or
+    most of the main part's text, is none.
     """
 
     def __init__(self, html: str) -> None:
         self.blocks: list[tuple[str, bool, bool]] = []
         self.elements: list[tuple[int, int, int]] = []
         self.buffer: list[str] = []
-        # tag, first block, in article, in main, furniture, hash so far, holds the main part
-        self.stack: list[list] = [["", 0, False, False, False, xxhash.xxh64(), False]]
+        # tag, first block, in article, in main, furniture, hash so far, number, doubt, in doubt
+        self.stack: list[list] = [["", 0, False, False, False, xxhash.xxh64(), 0, "", False]]
+        self.started = 0
+        # first block, end of the blocks, number, last number within; then tag or doubt, in doubt
+        self.parts: list[tuple[int, int, int, int, str, bool]] = []
+        self.doubts: list[tuple[int, int, int, int, str, bool]] = []
+        self.found: list[tuple[int, int, int, int, int]] = []
         self.marks: list[tuple[bool, bool, bool]] = []
         self._read(html)
         self._flush()
         while len(self.stack) > 1:
             self._pop()
+        self._judge()
         article = any(a and not f for a, _, f in self.marks)
         main = any(m and not f for _, m, f in self.marks)
         whole = not article and not main
@@ -125,6 +143,40 @@ class Page:
                 core.update(text.encode("utf-8", "replace") + b"\n")
         self.core = core.intdigest() - (1 << 63)
 
+    def _judge(self) -> None:
+        """Settle what is furniture, and which elements hold the main part."""
+        size = [0 if f else len(text) for (text, _, _), (_, _, f) in zip(self.blocks, self.marks, strict=True)]
+        upto = [0, *accumulate(size)]
+        parts = [p for p in self.parts if upto[p[1]] > upto[p[0]]]
+        free = [p for p in parts if not p[5]]
+        doubts = self.doubts
+        if parts and not free:
+            free = [max(parts, key=lambda p: (p[4] == "article", upto[p[1]] - upto[p[0]]))]
+            doubts = [d for d in doubts if not d[2] < free[0][2] <= d[3]]
+        chosen = [p for p in free if p[4] == "article"] or free
+        if chosen:
+            inside = self._covered(chosen)
+            upto = [0, *accumulate(n if held else 0 for n, held in zip(size, inside, strict=True))]
+        gone = []
+        for d in doubts:
+            held = upto[d[1]] - upto[d[0]]
+            most = 2 * held > upto[-1] and (d[1] - d[0] > 1 or held == upto[-1])
+            if d[4] == "comment" or not most:
+                gone.append(d)
+        covered = self._covered(gone)
+        self.marks = [(a, m, f or c) for (a, m, f), c in zip(self.marks, covered, strict=True)]
+        numbers = sorted({p[2] for p in [*(q for q in self.parts if not q[5]), *free]})
+        for value, first, stop, number, last in self.found:
+            if bisect_right(numbers, last) == bisect_right(numbers, number):
+                self.elements.append((value, first, stop))
+
+    def _covered(self, ranges: list[tuple]) -> list[bool]:
+        change = [0] * (len(self.blocks) + 1)
+        for held in ranges:
+            change[held[0]] += 1
+            change[held[1]] -= 1
+        return [depth > 0 for depth in accumulate(change[:-1])]
+
     def _read(self, html: str) -> None:
         at, size = 0, len(html)
         while at < size:
@@ -157,7 +209,7 @@ class Page:
         text = " ".join("".join(self.buffer).split())
         self.buffer.clear()
         if text:
-            _, _, article, main, furniture, digest, _ = self.stack[-1]
+            _, _, article, main, furniture, digest, *_ = self.stack[-1]
             digest.update(b"t" + text.encode("utf-8", "replace"))
             self.blocks.append((text, False, False))
             self.marks.append((article, main, furniture))
@@ -173,15 +225,22 @@ class Page:
             self.buffer.append(" ")
         if tag in VOID:
             return
-        _, _, article, main, furniture, _, _ = self.stack[-1]
-        furniture = furniture or _furniture(tag, attrs, article)
+        _, _, article, main, furniture, _, _, _, unsure = self.stack[-1]
+        doubt = "" if furniture else _furniture(tag, attrs, article)
+        furniture = furniture or doubt == "sure"
+        if doubt == "sure" and unsure:
+            self._flush()  # an inline one, such as a button, in a form that may stay
+        part = ""
         if (tag in ("article", "main") or 'role="main"' in attrs) and not furniture:
-            for held in self.stack:
-                held[6] = True
+            part = "article" if tag == "article" else "main"
             article, main = article or tag == "article", True
         block = tag in BLOCKS
         digest = xxhash.xxh64(tag.encode()) if block else self.stack[-1][5]
-        self.stack.append([tag, len(self.blocks), article, main, furniture, digest, False])
+        self.started += 1
+        unsure = unsure or doubt in ("named", "form", "comment")
+        self.stack.append(
+            [tag, len(self.blocks), article, main, furniture, digest, self.started, part or doubt, unsure]
+        )
 
     def _imply(self, tags: frozenset[str]) -> None:
         """Close the innermost of ``tags`` within the current scope, if one is open."""
@@ -207,14 +266,21 @@ class Page:
                 return
 
     def _pop(self) -> None:
-        tag, first, article, main, _, digest, holds = self.stack.pop()
+        if self.stack[-1][7] == "sure" and self.stack[-1][8]:
+            self._flush()
+        tag, first, article, main, _, digest, number, kind, unsure = self.stack.pop()
+        stop, last = len(self.blocks), self.started
+        if kind in ("article", "main"):
+            self.parts.append((first, stop, number, last, kind, unsure))
+        elif kind in ("named", "form", "comment") and stop > first:
+            self.doubts.append((first, stop, number, last, kind, unsure))
         if tag not in BLOCKS:
             return
         value = digest.intdigest()
         self.stack[-1][5].update(b"e" + value.to_bytes(8, "big"))
-        fixed = holds or tag in ("html", "body", "article", "main") or (main and tag in PROSE)
-        if len(self.blocks) > first and not fixed:
-            self.elements.append((value - (1 << 63), first, len(self.blocks)))
+        fixed = tag in ("html", "body", "article", "main") or kind == "main" or (main and tag in PROSE)
+        if stop > first and not fixed:
+            self.found.append((value - (1 << 63), first, stop, number, last))
 
 
 PARSED = (

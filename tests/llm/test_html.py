@@ -95,3 +95,26 @@ def test_a_template_needs_no_more_pages_on_a_large_host(spark):
     ]
     got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert all(r.text == f"Text {r.page_id}" for r in got)
+
+
+BODY = "<h1>Title</h1><p>First part of the text</p><p>Second part of the text</p>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<div class="content has-sidebar">{BODY}</div><div class="sidebar">side</div>',
+        f'<div id="page" class="no-sidebar">{BODY}</div>',
+        f'<article class="post has-comments">{BODY}</article><p>x</p>',
+        f'<article class="post tag-advertising">{BODY}</article><p>x</p>',
+        f'<article class="comments search">{BODY}</article>',
+        f'<form action="x"><div class="menu">a</div>{BODY}<input><button>go</button></form>',
+        f'<div class="widget-area"><nav>n</nav><article>{BODY}</article></div><div class="related">'
+        "<article>Card</article></div>",
+        f'<div class="side"><div class="overlay">{BODY}</div></div>',
+        f'<article>{BODY}<div class="comments"><p>{"long " * 50}</p><p>more</p></div></article>',
+        f'<article>{BODY}<form><p>Mail</p></form></article><div class="related"><article>Card</article></div>',
+    ],
+)
+def test_names_do_not_condemn_what_holds_the_text(html):
+    assert kept(f"<html><body>{html}</body></html>") == ["Title", "First part of the text", "Second part of the text"]

@@ -24,9 +24,9 @@ MIX_WEIGHTS = {"domain": {"d1": 2.0, "d2": 3.0}, "lang": {"en": 4.0, "de": 2.0}}
 
 
 def mix_levels() -> dict[str, Column]:
-    """Domain (numbered sources fall into four), language, source."""
-    number = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
-    domain = F.concat(F.lit("d"), F.pmod(number, F.lit(4)).cast("string"))
+    """Domain (numbered sources fall into four, others have none), language, source."""
+    number = F.regexp_extract("source", r"(\d+)$", 1).try_cast("decimal(38,0)")
+    domain = F.concat(F.lit("d"), F.pmod(number, F.lit(4).cast("decimal(38,0)")).cast("string"))
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lookback.llm.mixing import mix
+from lookback.llm.registry import MIX_WEIGHTS, mix_levels
 
 
 def levels():
@@ -106,3 +107,21 @@ def test_does_not_depend_on_partitioning(edge_docs):
     many = mix(edge_docs.repartition(7), levels=levels(), share=0.5)
     key = lambda df: sorted((str(r.doc_id), r.lb_epochs) for r in df.collect())
     assert key(one) == key(many)
+
+
+def test_levels_of_the_registered_mix_take_any_source(spark):
+    want = {
+        "src5": "d1",
+        "a20240101123456": "d0",
+        "a" + "9" * 30: "d3",
+        "odd": None,
+        "": None,
+        "7up": None,
+        "a" + "9" * 60: None,
+        None: None,
+    }
+    docs = [(i, "two words", "en", source) for i, source in enumerate(want)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = mix(df, levels=mix_levels(), weights=MIX_WEIGHTS, share=4.0, max_epochs=4).collect()
+    assert {r.source: r.lb_domain for r in got} == want
+    assert all(r.lb_epochs == 4 for r in got)

@@ -49,7 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id.
 
-    Documents with null ids stay; of rows that repeat an id one stays.
+    Documents with null ids stay; of rows of a group that repeat its smallest id one stays.
     """
     return one_of_each(docs, shingle=3, radius=3).select(*docs.columns)
 

@@ -229,6 +229,15 @@ def simhash_groups(
     never names it; a group of null ids only has a null ``component_id``. Repeated rows
     stay as they are. No rows give no rows.
     """
+    return _groups(docs, id_col, text_col, shingle, radius).select(
+        F.col("id").alias(id_col),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """(``id``, ``fp``, ``root``: a fingerprint that names the group, ``component_id``) of every row."""
     prints = staged(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     classes = staged(
         prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes"
@@ -239,30 +248,42 @@ def simhash_groups(
     )
     labelled = staged(labelled, "simhash-roots")
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        F.col("id").alias(id_col),
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id",
-    )
+    named = labelled.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp")
 
 
-def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def one_of_each(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    radius: int = 3,
+) -> DataFrame:
     """One row of each near-duplicate group: that of the smallest id, all columns kept.
 
     Rows with a null id always stay, since no id tells them apart from their group. Of
-    rows that repeat the smallest id, the first by text stays.
+    rows of a group that repeat its smallest id, the first by text stays. Rows that repeat
+    an id with texts of different groups are told apart by their fingerprints.
     """
-    named = simhash_groups(docs, id_col=id_col, text_col=text_col, **options)
-    keep = (
-        named.where(F.col(id_col) == F.col("component_id"))
-        .select(F.col(id_col).alias("keep_id"))
-        .distinct()
-    )
+    groups = _groups(docs, id_col, text_col, shingle, radius)
+    named = staged(groups.where("id IS NOT NULL").select("id", "fp", "root", "component_id"), "simhash-named")
+    keep = named.where("id = component_id").select(F.col("id").alias("keep_id"), "fp", "root").distinct()
+    many = named.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("many_id"))
+    many = staged(many, "simhash-repeated")
     kept = docs.join(keep, docs[id_col] == keep["keep_id"], "left_semi")
-    again = kept.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    if not again:
-        rest = [F.col(c) for c in docs.columns if c != id_col]
-        first = F.min(F.struct(F.col(text_col).alias("t"), F.struct(*rest).alias("r"))).alias("m")
-        kept = kept.groupBy(id_col).agg(first).select(id_col, "m.r.*").select(*docs.columns)
+    if not many.isEmpty():
+
+        @F.arrow_udf("long")
+        def fingerprint(texts: pa.Array) -> pa.Array:
+            return pa.array([text_fingerprint(t.as_py(), shingle) for t in texts], pa.int64())
+
+        one = kept.join(many, kept[id_col] == many["many_id"], "left_anti")
+        rows = kept.join(many, kept[id_col] == many["many_id"], "left_semi").select(
+            F.struct(*docs.columns).alias("lb_r"), fingerprint(F.col(text_col).cast("binary")).alias("lb_fp")
+        )
+        same = (F.col(f"lb_r.{id_col}") == keep["keep_id"]) & (rows["lb_fp"] == keep["fp"])
+        first = F.min(F.struct(F.col(f"lb_r.{text_col}").alias("t"), F.col("lb_r").alias("r"))).alias("m")
+        rows = rows.join(keep, same).groupBy("keep_id", "root").agg(first)
+        kept = one.unionByName(rows.select("m.r.*"))
     return kept.unionByName(docs.where(F.col(id_col).isNull()))

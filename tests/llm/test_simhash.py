@@ -93,3 +93,16 @@ def test_components_of_paths_stars_and_loops(spark):
 def test_spanning_labels():
     label = spanning(6, np.array([1, 4, 2]), np.array([0, 5, 1]))
     assert label.tolist() == [0, 0, 0, 3, 4, 4]
+
+
+def test_rows_that_repeat_an_id_stay_with_their_own_group(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(40)) for name in "abc")
+    rows = [(5, a), (7, a), (7, b), (8, b), (9, c), (9, a), (3, "lone text one"), (3, "other words here two"), (3, "lone text one")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n long")
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    want = [(3, "lone text one"), (3, "other words here two"), (5, a), (7, b), (9, c)]
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == want
+    rows = [(1, a), (2, a), (2, b), (None, b)]
+    got = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a), (2, b), (None, b)], key=str)

@@ -221,7 +221,7 @@ def _parsed(headers: dict[str, list[str]], block: bytes, with_payload: bool) ->
 
 
 def read_warc(spark: SparkSession, path: str, *, with_payload: bool = True) -> DataFrame:
-    """One row per record of all archives under ``path`` (``RECORD_SCHEMA``).
+    """One row per record of all archives (``*.gz`` and plain ``*.warc``) under ``path`` (``RECORD_SCHEMA``).
 
     A task holds one file at a time, so keep files to some hundred MB, as archives are.
     A file that breaks off within a record raises an error. Without ``with_payload``
@@ -248,7 +248,7 @@ def read_warc(spark: SparkSession, path: str, *, with_payload: bool = True) -> D
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc,gz}").load(path)
     return files.select("content").mapInArrow(run, RECORD_SCHEMA)
 
 

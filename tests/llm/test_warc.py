@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import os
 from collections import Counter
 
 import pytest
@@ -92,3 +93,14 @@ def test_links_count_both_ways_and_over_one_record(spark, folder):
     assert [r.record_id for r in rows["<r>"].requests] == ["<q>"]
     assert [r.record_id for r in rows["<r>"].metadata] == ["<m>"]
     assert rows["<v>"].original is None and rows["<v>"].requests == []
+
+
+def test_folder_of_plain_and_gzip_files(spark, folder):
+    def record(name):
+        return f"WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Record-ID: <{name}>\r\nContent-Length: 1\r\n\r\nx\r\n\r\n".encode()
+
+    os.makedirs(f"{folder}/both")
+    for name, data in (("a.warc", record("a")), ("b.warc.gz", gzip.compress(record("b"))), ("_SUCCESS", b"")):
+        with open(f"{folder}/both/{name}", "wb") as f:
+            f.write(data)
+    assert sorted(r.record_id for r in read_warc(spark, f"{folder}/both").collect()) == ["<a>", "<b>"]

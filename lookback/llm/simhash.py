@@ -280,8 +280,11 @@ def one_of_each(
 
         one = kept.join(many, kept[id_col] == many["many_id"], "left_anti")
         rows = kept.join(many, kept[id_col] == many["many_id"], "left_semi").select(
-            F.struct(*docs.columns).alias("lb_r"), fingerprint(F.col(text_col).cast("binary")).alias("lb_fp")
+            F.struct(*docs.columns).alias("lb_r"), F.col(text_col).cast("binary").alias("lb_t")
         )
+        # Written first: a Python function cannot be evaluated inside a join's condition.
+        rows = staged(rows, "simhash-rows")
+        rows = staged(rows.select("lb_r", fingerprint("lb_t").alias("lb_fp")), "simhash-prints")
         same = (F.col(f"lb_r.{id_col}") == keep["keep_id"]) & (rows["lb_fp"] == keep["fp"])
         first = F.min(F.struct(F.col(f"lb_r.{text_col}").alias("t"), F.col("lb_r").alias("r"))).alias("m")
         rows = rows.join(keep, same).groupBy("keep_id", "root").agg(first)

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 
 from lookback.llm import simhash
 from lookback.llm.common import components
+from lookback.llm.linedup import dedup_lines
 from lookback.llm.simhash import BKForest, one_of_each, simhash_groups, spanning, text_fingerprint
 
 
@@ -106,3 +107,15 @@ def test_rows_that_repeat_an_id_stay_with_their_own_group(spark):
     rows = [(1, a), (2, a), (2, b), (None, b)]
     got = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a), (2, b), (None, b)], key=str)
+
+
+def test_one_row_of_each_group_after_another_stage(spark, edge_docs):
+    docs = edge_docs.select("doc_id", "text", "lang")
+    computed = dedup_lines(docs, min_words=50).select(*docs.columns)
+    got = one_of_each(computed).collect()
+    rows = [tuple(r) for r in computed.collect()]
+    prints = {r[1]: text_fingerprint(None if r[1] is None else r[1].encode(), 3) for r in rows}
+    assert {r.doc_id for r in got} <= {r[0] for r in rows}
+    kept = [r for r in got if r.doc_id is not None]
+    assert len(kept) == len({(r.doc_id, prints[r.text]) for r in kept})
+    assert sum(r.doc_id is None for r in got) == sum(r[0] is None for r in rows)

@@ -4,46 +4,34 @@ from collections import Counter
 from lookback.llm.linedup import dedup_lines
 
 
-def brute(rows, least):
-    """Deleted lines per row, by the definition in the operator's docstring."""
+def brute_longest(rows, least):
+    """Deleted lines per row: the longest match of every place with any earlier place."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     lines = [[] if t is None else t.split("\n") for _, t in rows]
-    longest = max([len(x) for x in lines], default=0)
-    first = {}
-    k = 1
-    while k <= longest:
-        for i in order:
-            for s in range(len(lines[i]) - k + 1):
-                first.setdefault(tuple(lines[i][s : s + k]), (i, s))
-        k *= 2
-    gone = []
-    for i, own in enumerate(lines):
-        out = set()
+    places, gone = [], [set() for _ in rows]
+    for i in order:
+        own = lines[i]
         for s in range(len(own)):
-            k, best = 1, None
-            while s + k <= len(own):
-                at = first[tuple(own[s : s + k])]
-                best = at if at != (i, s) else best
-                k *= 2
-            if best:
-                j, t = best
+            best = 0
+            for j, t in places:
                 n = 0
                 while s + n < len(own) and t + n < len(lines[j]) and own[s + n] == lines[j][t + n]:
                     n += 1
-                if sum(len(x.encode().split()) for x in own[s : s + n]) >= least:
-                    out |= set(range(s, s + n))
-        gone.append(out)
+                best = max(best, n)
+            if best and sum(len(x.encode().split()) for x in own[s : s + best]) >= least:
+                gone[i] |= set(range(s, s + best))
+            places.append((i, s))
     return Counter(
         (d, None if t is None else "\n".join(x for n, x in enumerate(own) if n not in out), len(out))
         for (d, t), own, out in zip(rows, lines, gone, strict=True)
     )
 
 
-def check(spark, rows, least):
+def check_longest(spark, rows, least):
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, row int, line string").coalesce(1)
     got = dedup_lines(docs, min_words=least)
     assert got.columns[:4] == docs.columns
-    assert Counter((r.doc_id, r.text, r.lb_deleted) for r in got.collect()) == brute(rows, least)
+    assert Counter((r.doc_id, r.text, r.lb_deleted) for r in got.collect()) == brute_longest(rows, least)
 
 
 def test_random_lines_equal_brute_force(spark):
@@ -56,7 +44,7 @@ def test_random_lines_equal_brute_force(spark):
         )
         for _ in range(60)
     ]
-    check(spark, rows, 6)
+    check_longest(spark, rows, 6)
 
 
 def test_long_runs_and_copies(spark):
@@ -64,7 +52,7 @@ def test_long_runs_and_copies(spark):
     rows = [(5, "\n".join(body)), (2, "\n".join(["own", *body, "tail"])), (9, "\n".join(body[10:60]))]
     rows += [(i, "\n".join(["head", *body[i : i + 3]])) for i in range(20, 30)]
     rows += [(50, "again\n" * 40), (51, "short"), (52, "short")]
-    check(spark, rows, 12)
+    check_longest(spark, rows, 12)
 
 
 def test_first_copy_and_short_repeats_stay(spark):
@@ -77,39 +65,10 @@ def test_first_copy_and_short_repeats_stay(spark):
 def test_edge_rows(edge_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in edge_docs.collect()]
     got = dedup_lines(edge_docs, min_words=10)
-    assert Counter((r.doc_id, r.text, r.lb_deleted) for r in got.collect()) == brute(rows, 10)
+    assert Counter((r.doc_id, r.text, r.lb_deleted) for r in got.collect()) == brute_longest(rows, 10)
     assert dedup_lines(no_docs).count() == 0
 
 
-def brute_longest(rows, least):
-    """Deleted lines per row: the longest match of every place with any earlier place."""
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
-    lines = [[] if t is None else t.split("\n") for _, t in rows]
-    places, gone = [], [set() for _ in rows]
-    for i in order:
-        own = lines[i]
-        for s in range(len(own)):
-            best = 0
-            for j, t in places:
-                n = 0
-                while s + n < len(own) and t + n < len(lines[j]) and own[s + n] == lines[j][t + n]:
-                    n += 1
-                best = max(best, n)
-            if best and sum(len(x.encode().split()) for x in own[s : s + best]) >= least:
-                gone[i] |= set(range(s, s + best))
-            places.append((i, s))
-    return Counter(
-        (d, None if t is None else "\n".join(x for n, x in enumerate(own) if n not in out), len(out))
-        for (d, t), own, out in zip(rows, lines, gone, strict=True)
-    )
-
-
-def check_longest(spark, rows, least):
-    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    got = Counter((r.doc_id, r.text, r.lb_deleted) for r in dedup_lines(docs, min_words=least).collect())
-    assert got == brute_longest(rows, least)
-
-
 def test_longer_match_than_with_the_first_place_of_the_leading_lines(spark):
     a, b, c, x = (" ".join(f"{name}{i}" for i in range(20)) for name in "abcx")
     docs = [(1, "\n".join([a, b, x])), (2, "\n".join([a, b, c])), (3, "\n".join([a, b, c]))]

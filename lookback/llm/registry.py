@@ -7,13 +7,14 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lookback.llm.alignment import TokenizerPair, alignment_table
 from lookback.llm.common import table
 from lookback.llm.html import main_text
 from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
 from lookback.llm.multiindex import similar_groups
 from lookback.llm.ngram import quality_rules
-from lookback.llm.pieces import Vocabulary, decoded, encoded
+from lookback.llm.pieces import Vocabulary, count_pieces, encoded
 from lookback.llm.quality import judge, train
 from lookback.llm.recurrent import score_documents
 from lookback.llm.simhash import simhash_groups
@@ -75,16 +76,17 @@ def piece_model_path() -> str:
 
 
 def op7_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab = Vocabulary.load(piece_model_path())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("e", encoded(vocab, F.col("text"), n_best=4))
+    vocab = Vocabulary.load(piece_model_path())
+    vocab = vocab.weighted(count_pieces(vocab, docs.select("text")))
+    coded = docs.withColumn("e", encoded(vocab, F.col("text"), n_best=4, verify=True))
     return coded.select(
         "doc_id",
         F.col("e.ids").alias("ids"),
         F.coalesce(F.array_size("e.ids").cast("long"), F.lit(0)).alias("n_pieces"),
         F.col("e.score").alias("score"),
         F.col("e.alternatives").alias("alternatives"),
-        decoded(vocab, F.col("e.ids")).eqNullSafe(F.col("text")).alias("round_trip"),
+        F.col("e.round_trip").alias("round_trip"),
     )
 
 
@@ -103,6 +105,16 @@ def op10_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def byte_model_path() -> str:
+    """Place of the public byte-level vocabulary; ``LOOKBACK_BYTE_MODEL`` overrides it."""
+    return os.environ.get("LOOKBACK_BYTE_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def op11_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = TokenizerPair.load(byte_model_path(), piece_model_path())
+    return alignment_table(table(spark, sf_dir, "documents"), pair)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_groups": op2_embedding_groups,
@@ -114,6 +126,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_warc_captures": op9_warc_captures,
     "op10_recurrent_scores": op10_recurrent_scores,
+    "op11_aligned_tokens": op11_aligned_tokens,
 }
 
 def _level_sql(n: int, path: str, above: str, weight: str) -> str:
@@ -143,7 +156,7 @@ ORACLES: dict[str, str] = {
     "op6_source_mix": f"""
         WITH d AS (
             SELECT doc_id, lang, source, coalesce(doc_id::VARCHAR, '') AS key,
-                   'd' || (regexp_extract(source, '(\\d+)$', 1)::INT % 4) AS domain,
+                   'd' || (try_cast(regexp_extract(source, '(\\d+)$', 1) AS DECIMAL(38, 0)) % 4)::INT AS domain,
                    len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
                                    lambda x: x <> '')) AS tokens
             FROM documents
@@ -155,7 +168,11 @@ ORACLES: dict[str, str] = {
         p AS (
             SELECT d.*, floor(g3.given)::BIGINT AS budget, leaf.tokens AS leaf_tokens,
                    CASE WHEN leaf.tokens > 0 THEN floor(g3.given)::BIGINT // leaf.tokens ELSE 4 END AS e
-            FROM d JOIN leaf USING (domain, lang, source) JOIN g3 USING (domain, lang, source)
+            FROM d
+            JOIN leaf ON d.domain IS NOT DISTINCT FROM leaf.domain
+                AND d.lang IS NOT DISTINCT FROM leaf.lang AND d.source IS NOT DISTINCT FROM leaf.source
+            JOIN g3 ON d.domain IS NOT DISTINCT FROM g3.domain
+                AND d.lang IS NOT DISTINCT FROM g3.lang AND d.source IS NOT DISTINCT FROM g3.source
         ), o AS (
             SELECT *, sum(tokens) OVER (
                 PARTITION BY domain, lang, source

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lookback.llm.common import staged, table
 from lookback.llm.linedup import dedup_lines
 from lookback.llm.mixing import mix
-from lookback.llm.pieces import Vocabulary, encoded
+from lookback.llm.pieces import Vocabulary, count_pieces, encoded
 from lookback.llm.quality import judge, train
 from lookback.llm.registry import MIX_WEIGHTS, mix_levels, piece_model_path
 from lookback.llm.simhash import one_of_each
@@ -61,8 +61,13 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every whole text with their score and the next best segmentations."""
-    coded = docs.withColumn("lb_e", encoded(Vocabulary.load(piece_model_path()), F.col("text")))
+    """Piece ids of every whole text with their score and the next best segmentations.
+
+    Scores are log probabilities that the pieces' counts in these documents give them.
+    """
+    vocab = Vocabulary.load(piece_model_path())
+    vocab = vocab.weighted(count_pieces(vocab, docs.select("text")))
+    coded = docs.withColumn("lb_e", encoded(vocab, F.col("text")))
     return coded.select(
         "doc_id",
         "lang",

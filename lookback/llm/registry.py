@@ -19,6 +19,7 @@ from lookback.llm.quality import judge, train
 from lookback.llm.recurrent import score_documents
 from lookback.llm.simhash import simhash_groups
 from lookback.llm.warc import archived_pages
+from lookback.llm.whitening import whitened
 
 #: Production weights of the mix; values not named weigh 1.
 MIX_WEIGHTS = {"domain": {"d1": 2.0, "d2": 3.0}, "lang": {"en": 4.0, "de": 2.0}}
@@ -115,6 +116,10 @@ def op11_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_table(table(spark, sf_dir, "documents"), pair)
 
 
+def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"), wanted=32)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_groups": op2_embedding_groups,
@@ -127,6 +132,7 @@ QUERIES = {
     "op9_warc_captures": op9_warc_captures,
     "op10_recurrent_scores": op10_recurrent_scores,
     "op11_aligned_tokens": op11_aligned_tokens,
+    "op12_whitened_embeddings": op12_whitened_embeddings,
 }
 
 def _level_sql(n: int, path: str, above: str, weight: str) -> str:

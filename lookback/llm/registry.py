@@ -15,6 +15,7 @@ from lookback.llm.mixing import mix
 from lookback.llm.multiindex import similar_groups
 from lookback.llm.ngram import quality_rules
 from lookback.llm.pieces import Vocabulary, count_pieces, encoded
+from lookback.llm.private import private_spans, train as train_tagger
 from lookback.llm.quality import judge, train
 from lookback.llm.recurrent import score_documents
 from lookback.llm.simhash import simhash_groups
@@ -120,6 +121,13 @@ def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"), wanted=32)
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = private_spans(docs, train_tagger(docs.select("text")))
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_groups": op2_embedding_groups,
@@ -133,6 +141,7 @@ QUERIES = {
     "op10_recurrent_scores": op10_recurrent_scores,
     "op11_aligned_tokens": op11_aligned_tokens,
     "op12_whitened_embeddings": op12_whitened_embeddings,
+    "op13_personal_data": op13_personal_data,
 }
 
 def _level_sql(n: int, path: str, above: str, weight: str) -> str:

@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def test_contract_serves_all():
     assert QUERIES.items() <= contract.queries().items()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert "pipeline" in contract.queries() and ORACLES.items() <= contract.oracle_sql().items()
 
 

@@ -153,11 +153,7 @@ def replace_table(
     # One value per partition, so this is as short as the partition list.
     fresh = {r[0] for r in df.select(value).distinct().collect()}
     replace_partitions(df, table, [partition_by], cluster_by)
-    names = [unquote(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    held = {None if n == "__HIVE_DEFAULT_PARTITION__" else n for n in names}
-    gone = ", ".join(f"PARTITION ({partition_by} = {sql_text(v)})" for v in held - fresh)
-    if gone:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
+    drop_partitions(spark, table, partition_by, partition_values(spark, table) - fresh)
 
 
 def insert_overwrite(df: DataFrame, table: str) -> None:
@@ -192,11 +188,17 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
-def register(spark: SparkSession, table: str, folder: str, partition_by: Sequence[str] = ()) -> bool:
+def register(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    partition_by: Sequence[str] = (),
+    optional: Sequence[str] = (),
+) -> bool:
     """Make a table of an existing Parquet folder known to this session's catalog.
 
-    Catalogs that live in the process forget tables whose files stay. Returns whether
-    there is anything in the folder.
+    Catalogs that live in the process forget tables whose files stay. ``optional`` columns
+    are partitions where the folder has them. Returns whether there is anything in it.
     """
     if spark.catalog.tableExists(table):
         return True
@@ -204,6 +206,7 @@ def register(spark: SparkSession, table: str, folder: str, partition_by: Sequenc
         df = spark.read.option("mergeSchema", True).parquet(folder)
     except AnalysisException:
         return False
+    partition_by = [*partition_by, *(c for c in optional if c in df.columns)]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts} LOCATION '{folder}'")
@@ -212,6 +215,19 @@ def register(spark: SparkSession, table: str, folder: str, partition_by: Sequenc
     return True
 
 
+def partition_values(spark: SparkSession, table: str) -> set[str | None]:
+    """Values of a table's only partition column, from the catalog; no data are read."""
+    names = [unquote(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {None if n == "__HIVE_DEFAULT_PARTITION__" else n for n in names}
+
+
+def drop_partitions(spark: SparkSession, table: str, column: str, values) -> None:
+    """Take partitions away, in one statement."""
+    gone = ", ".join(f"PARTITION ({column} = {sql_text(v)})" for v in values)
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
+
+
 def create_table(
     spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = ()
 ) -> None:

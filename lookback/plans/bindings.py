@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookback import schemas
@@ -101,6 +101,29 @@ def land_events(
     df.select(line.alias("value")).write.mode(mode).text(folder)
 
 
+def land_odd_events(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
+    """JSON lines with fields beyond the schema (k 80 to 84, and nested 90 to 94), values of
+    the wrong type (85 to 89, 95 to 97), a line that is no object (98) and a cut one (99)."""
+    k, day, user = F.col("k"), F.col("day").cast("string").alias("day"), F.col("user_id")
+    event = F.struct("position", "value_prop").alias("event_data")
+
+    def line(*fields) -> Column:
+        return F.to_json(F.struct(*fields))
+
+    slot = F.concat(F.lit("s"), (k % 3).cast("string")).alias("slot")
+    text = (
+        F.when(k.between(80, 84), line(day, event, user, F.struct(k.alias("id")).alias("campaign")))
+        .when(k.between(85, 89), line(day, event, F.concat(F.lit("u"), user.cast("string")).alias("user_id")))
+        .when(k.between(90, 94), line(day, F.struct("position", "value_prop", slot).alias("event_data"), user))
+        .when(k.between(95, 96), line(day, F.struct((F.col("position") + 0.5).alias("position"), "value_prop").alias("event_data"), user))
+        .when(k == 97, line(day, F.lit("none").alias("event_data"), user))
+        .when(k == 98, F.lit("[1]"))
+        .when(k == 99, F.substring(line(day, event, user), 1, 15))
+        .otherwise(line(day, event, user))
+    )
+    df.select(text.alias("value")).write.mode(mode).text(folder)
+
+
 def move_aged(spark: SparkSession, source: str, target: str, days: int) -> None:
     """Move files into a folder as if they had been written ``days`` before now."""
     jvm = spark._jvm
@@ -115,7 +138,9 @@ def move_aged(spark: SparkSession, source: str, target: str, days: int) -> None:
             fs.setTimes(moved, old, -1)
 
 
-def land_payments(df: DataFrame, folder: str, broken: bool = False) -> None:
+def land_payments(
+    df: DataFrame, folder: str, broken: bool = False, mode: str = "overwrite"
+) -> None:
     """Write rows as CSV with a header; ``broken`` spoils some amounts."""
     total = F.col("total").cast("string")
     if broken:
@@ -125,4 +150,4 @@ def land_payments(df: DataFrame, folder: str, broken: bool = False) -> None:
         total.alias("total"),
         "user_id",
         "value_prop",
-    ).write.mode("overwrite").option("header", True).csv(folder)
+    ).write.mode(mode).option("header", True).csv(folder)

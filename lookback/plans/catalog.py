@@ -40,7 +40,8 @@ from lookback.operators.pit import (
     typed_events,
 )
 from lookback.plans import bindings as b
-from lookback.plans import layers, rules
+from lookback.operators.changes import apply_changes
+from lookback.plans import incremental, layers, rules
 from lookback.plans.features import (
     compute_features,
     compute_features_sql,
@@ -49,7 +50,9 @@ from lookback.plans.features import (
 )
 from lookback.session import scratch_dir
 from lookback.sources.files import load, read_csv, read_jsonl, with_lineage
+from lookback.sources.rescue import MALFORMED, RESCUED, read_rescued, rescued_fields, stream_rescued
 from lookback.streaming.ingest import ingest_new_files, stream_files
+from lookback.streaming.shared import load_batches, put_batch, put_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,6 +159,80 @@ def ingest_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.flatten_payments(load(spark, f"{root}/raw"))
 
 
+def _rescued(raw: DataFrame) -> DataFrame:
+    """Where each part of an odd line went."""
+    left = F.col(RESCUED)
+    return raw.select(
+        "day",
+        "event_data.position",
+        "event_data.value_prop",
+        "user_id",
+        left["campaign"].alias("campaign"),
+        left["event_data.slot"].alias("slot"),
+        left["user_id"].alias("odd_user"),
+        left["event_data.position"].alias("odd_position"),
+        left["event_data"].alias("odd_event"),
+        F.coalesce(F.size(left), F.lit(0)).alias("n_rescued"),
+        F.col(MALFORMED).alias("malformed"),
+    )
+
+
+@query
+def ingest_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown fields, wrong types and broken lines, each kept in its place."""
+    folder = scratch_dir(spark, "prints.json")
+    b.land_odd_events(b.typed(spark, sf_dir, b.VIEW), folder)
+    return _rescued(read_rescued(spark, folder, schemas.EVENT_LANDING))
+
+
+@query
+def ingest_rescued_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a stream, in two runs."""
+    root = scratch_dir(spark, "stream")
+    rows = b.typed(spark, sf_dir, b.VIEW)
+    for part in (F.col("user_id") % 2 == 0, F.col("user_id") % 2 != 0):
+        b.land_odd_events(rows.where(part), f"{root}/in", mode="append")
+        stream = stream_rescued(spark, f"{root}/in", schemas.EVENT_LANDING)
+        ingest_new_files(stream, f"{root}/raw", f"{root}/checkpoint")
+    return _rescued(load(spark, f"{root}/raw"))
+
+
+@query
+def ingest_rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the hinted schema misses, with the types inferred from the values."""
+    folder = scratch_dir(spark, "prints.json")
+    b.land_odd_events(b.typed(spark, sf_dir, b.VIEW), folder)
+    return rescued_fields(read_rescued(spark, folder, schemas.EVENT_LANDING))
+
+
+@query
+def ingest_shared_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw table filled by a stream, a batch, the stream again, and the batch again,
+    whose first run had only half of its rows."""
+    root = scratch_dir(spark, "shared")
+    rows = b.typed(spark, sf_dir, b.VIEW)
+    day = F.col("day")
+    first, second = F.lit(dt.date(2024, 1, 10)), F.lit(dt.date(2024, 1, 20))
+
+    def batch(some: DataFrame, name: str) -> None:
+        b.land_events(some, f"{root}/{name}")
+        put_batch(read_rescued(spark, f"{root}/{name}", schemas.EVENT_LANDING), f"{root}/raw", "backfill")
+
+    def stream(some: DataFrame) -> None:
+        b.land_events(some, f"{root}/in", mode="append")
+        put_stream(
+            stream_rescued(spark, f"{root}/in", schemas.EVENT_LANDING), f"{root}/raw", f"{root}/checkpoint"
+        )
+
+    middle = rows.where((day >= first) & (day < second))
+    stream(rows.where(day < first))
+    batch(middle.where("k < 50"), "half")
+    stream(rows.where(day >= second))
+    for _ in range(2):
+        batch(middle, "whole")
+    return conform.flatten_events(load_batches(spark, f"{root}/raw"))
+
+
 # ---------------------------------------------------------------- conform
 
 
@@ -643,6 +720,47 @@ def feature_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.snapshot_diff(old, new, schemas.EVENT_KEY)
 
 
+@query
+def feature_changes_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's table made today's by the changes between them alone."""
+    schema = f"serve_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, 'serving')}'")
+    last = _last_view_day(spark, sf_dir)
+    old = compute_features(
+        b.impressions(spark, sf_dir),
+        b.clicks(spark, sf_dir),
+        b.payments(spark, sf_dir).where("total <= 50"),
+        last_day=last - dt.timedelta(days=1),
+        amount_scale=SCALE,
+    ).drop("_computed_at")
+    publish.write_table(old, f"{schema}.features", ["day"])
+    new = publish.staged(_features(spark, sf_dir, last_day=last), scratch_dir(spark, "snapshot"))
+    changes = publish.snapshot_diff(spark.table(f"{schema}.features"), new, schemas.EVENT_KEY)
+    apply_changes(changes, f"{schema}.features", schemas.EVENT_KEY, "day", schemas.ENTITY)
+    return spark.table(f"{schema}.features")
+
+
+@query
+def changes_between_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by month, of which some are gone, some new, some dearer and some a month later."""
+    schema = f"serve_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, 'serving')}'")
+    orders = b.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_totalprice", "trunc(o_orderdate, 'MM') AS month"
+    )
+    key = F.col("o_orderkey")
+    publish.write_table(orders.where(key % 7 != 0), f"{schema}.orders", ["month"])
+    new = orders.where(key % 11 != 0).withColumns(
+        {
+            "o_totalprice": F.when(key % 5 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "month": F.when(key % 13 == 0, F.add_months("month", 1)).otherwise(F.col("month")),
+        }
+    )
+    changes = publish.snapshot_diff(spark.table(f"{schema}.orders"), new, ["o_orderkey"])
+    apply_changes(changes, f"{schema}.orders", ["o_orderkey"], "month")
+    return spark.table(f"{schema}.orders")
+
+
 # ---------------------------------------------------------------- training
 
 
@@ -741,11 +859,10 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- whole job
 
 
-def _landed_job(spark: SparkSession, sf_dir: str) -> PipelineConfig:
-    """Land the messy events as files and run all layers over them."""
+def _job_config(spark: SparkSession) -> PipelineConfig:
     root = scratch_dir(spark, "job")
     run = uuid.uuid4().hex
-    cfg = PipelineConfig(
+    return PipelineConfig(
         bronze_schema=f"bronze_{run}",
         silver_schema=f"silver_{run}",
         gold_schema=f"gold_{run}",
@@ -755,6 +872,11 @@ def _landed_job(spark: SparkSession, sf_dir: str) -> PipelineConfig:
         as_of=b.AS_OF,
         amount_scale=SCALE,
     )
+
+
+def _landed_job(spark: SparkSession, sf_dir: str) -> PipelineConfig:
+    """Land the messy events as files and run all layers over them."""
+    cfg = _job_config(spark)
     b.land_events(b.messy(spark, sf_dir, b.VIEW), cfg.source("prints"))
     b.land_events(b.messy(spark, sf_dir, b.CLICK), cfg.source("taps"))
     b.land_payments(b.messy(spark, sf_dir, b.PURCHASE), cfg.source("pays"))
@@ -793,3 +915,27 @@ def layered_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def layered_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.run_quality(spark, _landed_job(spark, sf_dir))
+
+
+@query
+def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job in four steps, the third of which brings late events, the last a backfill."""
+    cfg = _job_config(spark)
+    day, k = F.col("day"), F.col("k")
+    late, turn = k % 10 == 3, F.lit(dt.date(2024, 1, 27))
+    older = k % 10 == 7
+    steps = [
+        (~late & ~older & (day < turn), None),
+        (~late & ~older & (day >= turn), None),
+        (late, None),
+        (older, "backfill"),
+    ]
+    for n, (some, batch) in enumerate(steps):
+        step = dataclasses.replace(cfg, landing=f"{cfg.landing}/{n}") if batch else cfg
+        for event_type, name in ((b.VIEW, "prints"), (b.CLICK, "taps")):
+            b.land_events(b.messy(spark, sf_dir, event_type).where(some), step.source(name), mode="append")
+        b.land_payments(b.messy(spark, sf_dir, b.PURCHASE).where(some), step.source("pays"), mode="append")
+        checkpoints = None if batch else f"{cfg.warehouse}/_checkpoints"
+        incremental.run_ingest_shared(spark, step, checkpoints, batch)
+        incremental.run_incremental(spark, step)
+    return spark.table(cfg.table("gold", cfg.feature_table)).drop("_computed_at")

@@ -51,7 +51,9 @@ from lookback.operators.training import (
 from lookback.plans import rules
 from lookback.plans.features import compute_features
 from lookback.sources.files import path_exists, read_csv, read_jsonl, with_lineage
+from lookback.sources.rescue import MALFORMED
 from lookback.streaming.ingest import ingest_new_files, stream_files
+from lookback.streaming.shared import BATCH
 
 
 @dataclass(frozen=True)
@@ -99,7 +101,7 @@ def open_tables(spark: SparkSession, cfg: PipelineConfig) -> None:
     if cfg.warehouse:
         for layer, name, parts in (*TABLES, ("gold", cfg.feature_table, ("day",))):
             folder = f"{cfg.warehouse}/{getattr(cfg, layer + '_schema')}/{name}"
-            register(spark, cfg.table(layer, name), folder, parts)
+            register(spark, cfg.table(layer, name), folder, parts, optional=[BATCH])
 
 
 def _claim(spark: SparkSession, table: str, mode: str, folder: str | None) -> None:
@@ -111,7 +113,11 @@ def _claim(spark: SparkSession, table: str, mode: str, folder: str | None) -> No
     if not spark.catalog.tableExists(table):
         return
     kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    held = kept.get(INGEST) or ("stream" if folder and path_exists(spark, f"{folder}/_spark_metadata") else "batch")
+    held = kept.get(INGEST)
+    if not held and BATCH in spark.table(table).columns:
+        held = "shared"
+    if not held:
+        held = "stream" if folder and path_exists(spark, f"{folder}/_spark_metadata") else "batch"
     if held != mode:
         raise ValueError(f"{table} is filled by {held} ingest; it cannot be filled by {mode} as well")
 
@@ -125,9 +131,9 @@ def read_landing(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFra
     """Landing files of one source as they are, with lineage. ``_malformed`` keeps the text
     of broken lines, so that there is something to look at when a rule stops the run."""
     if name == "pays":
-        rows = read_csv(spark, cfg.source(name), schemas.PAYMENT_LANDING)
+        rows = read_csv(spark, cfg.source(name), schemas.PAYMENT_LANDING, malformed=MALFORMED)
     else:
-        rows = read_jsonl(spark, cfg.source(name), schemas.EVENT_LANDING, "_malformed")
+        rows = read_jsonl(spark, cfg.source(name), schemas.EVENT_LANDING, MALFORMED)
     return rows.transform(with_lineage)
 
 
@@ -155,7 +161,7 @@ def run_ingest_stream(spark: SparkSession, cfg: PipelineConfig, checkpoints: str
         schema, fmt = (
             (schemas.PAYMENT_LANDING, "csv") if name == "pays" else (schemas.EVENT_LANDING, "json")
         )
-        stream = stream_files(spark, cfg.source(name), schema, fmt)
+        stream = stream_files(spark, cfg.source(name), schema, fmt, malformed=MALFORMED)
         ingest_new_files(stream, table, f"{checkpoints}/{name}_raw")
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{INGEST}' = 'stream')")
 

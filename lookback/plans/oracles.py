@@ -449,4 +449,36 @@ FROM a
 UNION ALL
 SELECT 'dq_failure_rate', max(round(failure_rate * 100, 2)), CAST(1 AS DOUBLE),
   max(round(failure_rate * 100, 2)) > 1 FROM a""",
+    **dict.fromkeys(
+        ("ingest_rescued", "ingest_rescued_stream"),
+        f"""WITH {_TYPED}
+SELECT CASE WHEN k < 98 THEN CAST(day AS VARCHAR) END AS day, CASE WHEN k < 95 THEN position END AS position,
+  CASE WHEN k < 97 THEN value_prop END AS value_prop,
+  CASE WHEN k < 85 OR k BETWEEN 90 AND 97 THEN user_id END AS user_id,
+  CASE WHEN k BETWEEN 80 AND 84 THEN '{{"id":' || k || '}}' END AS campaign,
+  CASE WHEN k BETWEEN 90 AND 94 THEN '"s' || (k % 3) || '"' END AS slot,
+  CASE WHEN k BETWEEN 85 AND 89 THEN '"u' || user_id || '"' END AS odd_user,
+  CASE WHEN k BETWEEN 95 AND 96 THEN position || '.5' END AS odd_position,
+  CASE WHEN k = 97 THEN '"none"' END AS odd_event,
+  CASE WHEN k BETWEEN 80 AND 97 THEN 1 ELSE 0 END AS n_rescued,
+  CASE WHEN k = 98 THEN '[1]' WHEN k = 99 THEN substr('{{"day":"' || day, 1, 15) END AS malformed
+FROM typed WHERE event_type = 'view'""",
+    ),
+    "ingest_rescued_fields": f"""WITH {_TYPED}, odd AS (
+  SELECT CASE WHEN k <= 84 THEN 'campaign' WHEN k <= 89 THEN 'user_id' WHEN k <= 94 THEN 'event_data.slot'
+    WHEN k <= 96 THEN 'event_data.position' ELSE 'event_data' END AS path
+  FROM typed WHERE event_type = 'view' AND k BETWEEN 80 AND 97
+)
+SELECT path, CAST(count(*) AS BIGINT) AS n_rows, CASE path WHEN 'campaign' THEN 'OBJECT<id: BIGINT>'
+  WHEN 'event_data.position' THEN 'DECIMAL(2,1)' ELSE 'STRING' END AS inferred
+FROM odd GROUP BY path""",
+    "ingest_shared_sink": f"""WITH {_TYPED}
+SELECT day, user_id, value_prop, position FROM typed WHERE event_type = 'view'""",
+    "feature_changes_applied": _FEATURES,
+    "changes_between_days": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  CAST(CASE WHEN o_orderkey % 13 = 0 THEN date_trunc('month', o_orderdate) + INTERVAL 1 MONTH
+    ELSE date_trunc('month', o_orderdate) END AS DATE) AS month
+FROM orders WHERE o_orderkey % 11 <> 0""",
+    "incremental_features": f"WITH {_JOB_TABLES}, {_features('f')} SELECT * FROM f",
 }

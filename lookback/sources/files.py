@@ -16,16 +16,27 @@ def read_jsonl(
 ) -> DataFrame:
     """One JSON object per line. A malformed line becomes a row of NULLs; ``malformed``
     names a further column that keeps its text."""
+    kept, options = with_malformed(schema, malformed)
+    return spark.read.schema(kept).options(**options).json(path)
+
+
+def with_malformed(schema: StructType, malformed: str | None) -> tuple[StructType, dict[str, str]]:
+    """Schema and options of a reader that keeps the text of broken lines in a column."""
     if not malformed:
-        return spark.read.schema(schema).json(path)
+        return schema, {}
     kept = StructType([*schema.fields, StructField(malformed, StringType())])
-    return spark.read.schema(kept).option("columnNameOfCorruptRecord", malformed).json(path)
+    return kept, {"columnNameOfCorruptRecord": malformed}
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, by_name: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    by_name: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """CSV with a header.
+    """CSV with a header. ``malformed`` names a further column that keeps the text of lines
+    with a value that does not fit, or with too many or too few of them.
 
     By default the header must match the schema; reordered columns raise instead of
     being bound by position. ``by_name`` takes the columns from the header wherever
@@ -33,7 +44,8 @@ def read_csv(
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if not by_name:
-        return reader.schema(schema).csv(path)
+        kept, options = with_malformed(schema, malformed)
+        return reader.schema(kept).options(**options).csv(path)
     text = reader.option("inferSchema", False).csv(path)
     return text.select(
         *[to_type(f.name, f.dataType.simpleString()).alias(f.name) for f in schema.fields]

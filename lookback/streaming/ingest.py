@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from lookback.sources.files import is_path, with_lineage
+from lookback.sources.files import is_path, with_lineage, with_malformed
 
 
 #: A hundred years.
@@ -18,15 +18,18 @@ def stream_files(
     schema: StructType,
     fmt: str = "json",
     max_files: int | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Stream of a landing folder's files with lineage; the schema is never inferred.
+    ``malformed`` names a further column that keeps the text of broken lines, as in batches.
 
     The file source by itself forgets, and for good skips, files older than a week before
     the newest one. Here no file is too old: a late one is taken too. The price is that
     the checkpoint keeps the names of all files ever seen, some hundred bytes each, so
     landing files that are done with should be moved away at times.
     """
-    reader = spark.readStream.schema(schema).option("maxFileAge", NEVER)
+    kept, options = with_malformed(schema, malformed)
+    reader = spark.readStream.schema(kept).options(**options).option("maxFileAge", NEVER)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     if max_files:

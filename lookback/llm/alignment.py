@@ -18,7 +18,9 @@ from lookback.llm.common import staged
 from lookback.llm.pieces import SPACE, blocks
 
 #: Chunks remembered by a task before it starts afresh, learned at once, encoded as one text.
-REMEMBERED, LEARNED, JOINED = 150_000, 50_000, 100
+REMEMBERED, LEARNED, JOINED = 60_000, 10_000, 100
+#: Texts and characters aligned at once.
+TEXTS, CHARS = 300, 1_000_000
 LINKS = "array<struct<a:int,b:int,n:int>>"
 
 
@@ -288,7 +290,7 @@ def aligned(docs: DataFrame, pair: TokenizerPair, *, id_col: str = "doc_id", tex
         aligner = Aligner(pair)
         for batch in batches:
             done = 0
-            for block in blocks(batch.column(1).to_pylist()):
+            for block in blocks(batch.column(1).to_pylist(), TEXTS, CHARS):
                 got = aligner.align(block)
                 ids = batch.column(0).slice(done, len(block))
                 yield pa.RecordBatch.from_arrays([ids, *got.columns], names=["id", *got.schema.names])

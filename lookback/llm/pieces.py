@@ -241,11 +241,11 @@ def chunked(vocab: Vocabulary, texts: list[str]) -> tuple[list[str], np.ndarray,
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(at, rows)
 
 
-def blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Runs of at most ``TEXTS`` texts and, but for single longer ones, ``BYTES`` characters."""
+def blocks(texts: list[str | None], most: int = TEXTS, chars: int = BYTES) -> Iterator[list[str | None]]:
+    """Runs of at most ``most`` texts and, but for single longer ones, ``chars`` characters."""
     block, size = [], 0
     for text in texts:
-        if block and (len(block) == TEXTS or size + len(text or "") > BYTES):
+        if block and (len(block) == most or size + len(text or "") > chars):
             yield block
             block, size = [], 0
         block.append(text)

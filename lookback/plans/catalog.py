@@ -41,6 +41,8 @@ from lookback.operators.pit import (
 )
 from lookback.plans import bindings as b
 from lookback.operators.changes import apply_changes
+from lookback.operators.layout import compact, z_ordered
+from lookback.operators.versions import replace_version
 from lookback.plans import incremental, layers, rules
 from lookback.plans.features import (
     compute_features,
@@ -48,6 +50,7 @@ from lookback.plans.features import (
     event_stream,
     feature_metrics,
 )
+from lookback.plans.replay import replay
 from lookback.session import scratch_dir
 from lookback.sources.files import load, read_csv, read_jsonl, with_lineage
 from lookback.sources.rescue import MALFORMED, RESCUED, read_rescued, rescued_fields, stream_rescued
@@ -688,6 +691,41 @@ def publish_table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+@query
+def publish_z_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments laid out by user and category at once."""
+    folder = scratch_dir(spark, "pays")
+    z_ordered(b.payments(spark, sf_dir), ["user_id", "value_prop"], files=16).write.parquet(folder)
+    return load(spark, folder)
+
+
+@query
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice as a whole, and what a reader that began before still sees."""
+    root = scratch_dir(spark, "versions")
+    schema = f"pub_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, 'warehouse')}'")
+    table = f"{schema}.pays"
+    pays = b.payments(spark, sf_dir)
+    replace_version(pays.where("total > 50"), table, root, ["day"], schemas.ENTITY)
+    early = spark.table(table).select("day", "total").withColumn("seen", F.lit("before"))
+    replace_version(pays, table, root, ["day"], schemas.ENTITY)
+    now = spark.table(table).select("day", "total").withColumn("seen", F.lit("after"))
+    return early.unionByName(now)
+
+
+@query
+def publish_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder that many small appends filled, packed into few files a day."""
+    folder = scratch_dir(spark, "pays")
+    pays = b.payments(spark, sf_dir)
+    for part in range(3):
+        some = pays.where(F.pmod(F.xxhash64("user_id"), F.lit(3)) == part).repartition(4)
+        some.write.mode("append").partitionBy("day").parquet(folder)
+    compact(spark, folder, "day", max_small=3)
+    return load(spark, folder)
+
+
 @query
 def audit_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of two tables appended to one log and read back."""
@@ -939,3 +977,20 @@ def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         incremental.run_ingest_shared(spark, step, checkpoints, batch)
         incremental.run_incremental(spark, step)
     return spark.table(cfg.table("gold", cfg.feature_table)).drop("_computed_at")
+
+
+@query
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments after a rule was eased and the quarantine replayed, twice."""
+    cfg = _landed_job(spark, sf_dir)
+    eased = [
+        dataclasses.replace(r, constraint="total >= -2") if r.name == "total_non_negative" else r
+        for r in rules.payment_rules()
+    ]
+    for _ in range(2):
+        replay(spark, cfg, "pays", eased)
+    kept = spark.table(cfg.table("monitoring", "pays_quarantine"))
+    state = F.when(F.col(layers.RESOLVED_AT).isNull(), "held").otherwise("released")
+    columns = schemas.PAYMENTS.names
+    silver = spark.table(cfg.table("silver", "pays")).select(*columns, F.lit("silver").alias("place"))
+    return silver.unionByName(kept.select(*columns, state.alias("place")))

@@ -88,6 +88,9 @@ TABLES = (
     ("monitoring", AUDIT_TABLE, ()),
 )
 
+#: Columns of the quarantine that say when a row was released, and by which replay.
+RESOLVED_AT, RESOLVED_BY = "_resolved_at", "_resolved_by"
+
 #: Table property that says how a raw table is filled.
 INGEST = "lookback.ingest"
 
@@ -177,8 +180,17 @@ def staging(spark: SparkSession, df: DataFrame, table: str, run: Run) -> Iterato
 
 
 def set_aside(rejected: DataFrame, table: str, run: Run) -> None:
-    """Put a run's rejected rows into ``table``, in the place of any it put there before."""
-    rows = rejected.withColumn("run_id", F.lit(run.run_id))
+    """Put a run's rejected rows into ``table``, in the place of any it put there before.
+
+    Each has room for when, and by which replay, it was released.
+    """
+    rows = rejected.withColumns(
+        {
+            RESOLVED_AT: F.lit(None).cast("timestamp"),
+            RESOLVED_BY: F.lit(None).cast("string"),
+            "run_id": F.lit(run.run_id),
+        }
+    )
     create_table(rows.sparkSession, table, empty_like(rows).schema, ["run_id"])
     # Few rows out of many tasks: merged, or each task would leave a tiny file.
     replace_partitions(rows, table, ["run_id"])

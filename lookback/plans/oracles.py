@@ -481,4 +481,16 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_tot
     ELSE date_trunc('month', o_orderdate) END AS DATE) AS month
 FROM orders WHERE o_orderkey % 11 <> 0""",
     "incremental_features": f"WITH {_JOB_TABLES}, {_features('f')} SELECT * FROM f",
+    "publish_z_ordered": f"WITH {_TABLES} SELECT * FROM pays",
+    "publish_compacted": f"WITH {_TABLES} SELECT * FROM pays",
+    "publish_versions": f"""WITH {_TABLES}
+SELECT day, total, 'before' AS seen FROM pays WHERE total > 50
+UNION ALL SELECT day, total, 'after' FROM pays""",
+    "quarantine_replay": f"""WITH {_TYPED}, pays AS (
+  SELECT day, user_id, value_prop, total FROM messy WHERE event_type = 'purchase'
+)
+SELECT *, 'silver' AS place FROM pays WHERE value_prop IS NOT NULL AND total >= -2
+UNION ALL
+SELECT *, CASE WHEN value_prop IS NOT NULL AND total >= -2 THEN 'released' ELSE 'held' END FROM pays
+WHERE value_prop IS NULL OR total < 0""",
 }

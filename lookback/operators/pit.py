@@ -245,3 +245,64 @@ def pit_features(
     return spine.join(lookup, on=[*keys, day], how="left").select(
         *columns, *[m.final() for m in (*metrics, *labels)]
     )
+
+
+def pit_from_log(
+    log: DataFrame,
+    keys: Sequence[str],
+    detail: Sequence[str],
+    spine_type: str,
+    metrics: Sequence[Metric],
+    labels: Sequence[Label],
+    days: tuple[dt.date, dt.date],
+    sets: Sequence[str] = (),
+    day: str = "day",
+    lookback: int = 21,
+    gap: int = 1,
+) -> DataFrame:
+    """``pit_features`` where one log holds the spine and its history, read once.
+
+    ``log`` has ``keys``, ``ev_day``, ``etype``, ``amount`` and the ``detail`` columns. The
+    spine are the different events (by keys, day and detail) of ``spine_type`` on ``days``.
+    Events of the ``sets`` types count once however often they occur.
+
+    All events are grouped once, by everything but their amount. The spine and the rollup
+    both start from that grouping; what tells their rows apart is an aggregate of it, which
+    Spark cannot push below the grouping, and both mention the same aggregates. So the two
+    branches stay equal down to the scan and share its exchange. For the same reason the
+    lookup compares keys null-safe: it infers no filters, and holds no NULL keys to match.
+    """
+    first, last = days
+    base = log.where(days_between("ev_day", first - dt.timedelta(days=lookback), last))
+    totals = [m for m in metrics if m.total]
+    value = {m.name: F.col("amount") if m.scale is None else to_units("amount", m.scale) for m in totals}
+    serves = (F.col("etype") == spine_type) & days_between("ev_day", first, last)
+    grouped = base.groupBy(*keys, "ev_day", "etype", *detail).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.when(F.col("etype") == m.event_type, value[m.name])).alias(f"_{m.name}") for m in totals],
+        F.bool_or(serves).alias("_serves"),
+        F.bool_and(not_null([*keys, "ev_day"])).alias("_keyed"),
+    )
+    names = ["_n", *(f"_{m.name}" for m in totals), "_serves", "_keyed"]
+    # Always true: it only mentions every aggregate.
+    same = F.size(F.array(*[F.col(c).cast("double") for c in names])) > 0
+    once = F.when(F.col("etype").isin(list(sets)), F.lit(1)).otherwise(F.col("_n")) if sets else F.col("_n")
+
+    def per_day(m: Metric) -> Column:
+        hit = F.col("etype") == m.event_type
+        if m.total:
+            return F.sum(F.when(hit, F.col(f"_{m.name}"))).alias(m.name)
+        return F.sum(F.when(hit, once).otherwise(0)).alias(m.name)
+
+    daily = (
+        grouped.where(F.col("_keyed") & same)
+        .groupBy(*keys, "ev_day")
+        .agg(*[per_day(m) for m in metrics], *[x.per_day() for x in labels])
+    )
+    lookup = rolled(daily, keys, metrics, labels, lookback, gap).where(days_between("ev_day", first, last))
+    lookup = lookup.select(*[F.col(c).alias(f"_k_{c}") for c in (*keys, "ev_day")], *[x.name for x in (*metrics, *labels)])
+    spine = grouped.where(F.col("_serves") & same).select(*keys, F.col("ev_day").alias(day), *detail)
+    met = reduce(lambda a, b: a & b, [spine[c].eqNullSafe(lookup[f"_k_{c}"]) for c in keys], spine[day].eqNullSafe(lookup["_k_ev_day"]))
+    return spine.join(lookup, met, "left").select(
+        *spine.columns, *[m.final() for m in (*metrics, *labels)]
+    )

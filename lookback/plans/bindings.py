@@ -69,6 +69,31 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(spark, sf_dir, PURCHASE).select(*schemas.PAYMENTS.names)
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impressions, clicks and payments in one scan; payments have no position."""
+    names = {VIEW: "print", CLICK: "tap", PURCHASE: "pay"}
+    pairs = ", ".join(f"'{a}', '{b}'" for a, b in names.items())
+    return (
+        table(spark, sf_dir, "events")
+        .where(F.col("event_type").isin(list(names)))
+        .selectExpr(
+            "to_date(ts) AS ev_day",
+            f"element_at(map({pairs}), event_type) AS etype",
+            "user_id",
+            "value",
+            "from_json(props, 'k INT').k AS k",
+        )
+        .selectExpr(
+            "ev_day",
+            "etype",
+            "user_id",
+            f"{_CATEGORY} AS value_prop",
+            "CASE WHEN etype <> 'pay' THEN k % 4 END AS position",
+            "CASE WHEN etype = 'pay' THEN value END AS amount",
+        )
+    )
+
+
 def messy(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     """All events of a type, with faults for the rules to find: missing and unknown
     categories, positions past the range, negative amounts."""

@@ -49,6 +49,7 @@ from lookback.plans.features import (
     compute_features_sql,
     event_stream,
     feature_metrics,
+    features_from_log,
 )
 from lookback.plans.replay import replay
 from lookback.session import scratch_dir
@@ -317,11 +318,15 @@ def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _features(
     spark: SparkSession, sf_dir: str, form: str = "window", last_day: dt.date | None = None
 ) -> DataFrame:
+    last = last_day or _last_view_day(spark, sf_dir)
+    if form == "window":
+        log = b.event_log(spark, sf_dir)
+        return features_from_log(log, last or dt.date(1970, 1, 1), amount_scale=SCALE).drop("_computed_at")
     return compute_features(
         b.impressions(spark, sf_dir),
         b.clicks(spark, sf_dir),
         b.payments(spark, sf_dir),
-        last_day=last_day or _last_view_day(spark, sf_dir),
+        last_day=last,
         amount_scale=SCALE,
         form=form,
     ).drop("_computed_at")

@@ -15,6 +15,7 @@ from lookback.operators.pit import (
     Metric,
     last_day_of,
     pit_features,
+    pit_from_log,
     serving_days,
     typed_events,
 )
@@ -93,6 +94,35 @@ def compute_features(
     )
 
 
+def features_from_log(
+    log: DataFrame,
+    last_day: dt.date,
+    feature_window_days: int = 21,
+    serving_window_days: int = 7,
+    amount_scale: int | None = None,
+    clock: dt.datetime | None = None,
+) -> DataFrame:
+    """``compute_features`` over one log of all events (``ev_day``, ``etype``, ``user_id``,
+    ``value_prop``, ``position``, ``amount``), which is read once. Impressions and clicks
+    are sets there, payments a bag."""
+    features = pit_from_log(
+        log,
+        keys=schemas.ENTITY,
+        detail=["position"],
+        spine_type="print",
+        metrics=feature_metrics(amount_scale),
+        labels=[LABEL],
+        days=serving_days(last_day, serving_window_days),
+        sets=("print", "tap"),
+        lookback=feature_window_days,
+    )
+    return (
+        with_ratios(features)
+        .withColumn("_computed_at", now(clock))
+        .select(*schemas.FEATURES.names)
+    )
+
+
 # The feature query as Spark SQL, for callers that work in SQL. Every source is rolled up
 # to one row per entity and day by itself; the histories are frames over the union of
 # those rows. Amounts are summed as DECIMAL or as doubles, as ``money`` says.

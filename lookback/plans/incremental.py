@@ -212,13 +212,11 @@ def _refresh_features(spark: SparkSession, cfg: PipelineConfig, run: Run, touche
     target = cfg.table("gold", cfg.feature_table)
     create_table(spark, target, schemas.FEATURES, ["day"])
     held = {dt.date.fromisoformat(d) for d in partition_values(spark, target) if d}
-    seen = [d for d in partition_values(spark, cfg.table("silver", "prints")) if d]
-    if not seen:
-        drop_partitions(spark, target, "day", map(str, held))
-        return []
-    served = serving_days(max(map(dt.date.fromisoformat, seen)), cfg.serving_window_days)
-    every = {served[0] + dt.timedelta(days=n) for n in range(cfg.serving_window_days)}
-    todo = touched_serving_days(touched, cfg.feature_window_days, served) | (every - held)
+    seen = {dt.date.fromisoformat(d) for d in partition_values(spark, cfg.table("silver", "prints")) if d}
+    served = serving_days(max(seen, default=dt.date(1970, 1, 1)), cfg.serving_window_days)
+    # A day without impressions has no features.
+    every = {d for d in seen if d >= served[0]}
+    todo = touched_serving_days(touched, cfg.feature_window_days, served) & every | (every - held)
     if todo:
         features = reduce(DataFrame.unionByName, (features_of_days(spark, cfg, a, b) for a, b in runs_of(todo)))
         with staging(spark, features, target, run) as rows:

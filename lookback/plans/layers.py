@@ -222,8 +222,13 @@ def _conform(
         if quarantine:
             rejected = quarantined(rows, expectations, run.checked_at)
             set_aside(rejected, cfg.table("monitoring", f"{table}_quarantine"), run)
-        valid = distinct_on(valid, key) if key else valid
-        replace_table(valid, cfg.table("silver", table), "day", schemas.ENTITY)
+        if not key:
+            replace_table(valid, cfg.table("silver", table), "day", schemas.ENTITY)
+            return
+        # Written once: the list of days, the range sample and the write read files then,
+        # and the shuffle that drops copies runs once.
+        with staging(spark, distinct_on(valid, key), f"{cfg.table('silver', table)}_set", run) as valid:
+            replace_table(valid, cfg.table("silver", table), "day", schemas.ENTITY)
 
 
 def run_conform(

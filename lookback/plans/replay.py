@@ -56,6 +56,8 @@ def replay(
         return 0
     create_table(spark, silver, _silver_schema(name), ["day"])
     newest = newest_run(spark.table(kept))
+    if newest is None:
+        return 0
     plan = _plan_folder(cfg, name, newest)
     held = spark.table(kept).where(F.col("run_id") == F.lit(newest))
     if _marked(spark, held, plan):
@@ -75,7 +77,7 @@ def replay(
     return n
 
 
-def _plan_folder(cfg: PipelineConfig, name: str, run_id: str | None) -> str:
+def _plan_folder(cfg: PipelineConfig, name: str, run_id: str) -> str:
     return f"{cfg.warehouse}/{cfg.monitoring_schema}/_replay_{name}_{run_id}"
 
 

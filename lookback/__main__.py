@@ -13,9 +13,12 @@ from lookback import schemas
 from lookback.config import AUDIT_TABLE, PipelineConfig
 from lookback.operators.audit import require_no_breach
 from lookback.plans import layers
+from lookback.plans.incremental import run_incremental, run_ingest_shared
 from lookback.session import build_session
 
 STEPS = ("ingest", "conform", "features", "train", "score", "quality", "maintenance", "all")
+#: A step of its own: shared ingest, then what the new rows change.
+INCREMENTAL = "incremental"
 INTEGERS = ("feature_window_days", "serving_window_days", "amount_scale")
 
 
@@ -45,16 +48,21 @@ def report_features(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="lookback", description=__doc__)
-    parser.add_argument("step", choices=STEPS)
+    parser.add_argument("step", choices=[*STEPS, INCREMENTAL])
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--quarantine", action="store_true")
     parser.add_argument("--keep-older-days", action="store_true")
     parser.add_argument("--checkpoints", help="ingest only new files; shared folder")
+    parser.add_argument("--batch", help="name of the batch that the landing files are (step incremental)")
     args = parser.parse_args(argv)
     cfg = PipelineConfig().with_overrides(dict(map(setting_value, args.set)))
     spark = build_session()
     this = layers.Run.new()
+    if args.step == INCREMENTAL:
+        run_ingest_shared(spark, cfg, None if args.batch else args.checkpoints, args.batch)
+        print("recomputed:", [str(d) for d in run_incremental(spark, cfg, this, args.quarantine)])
+        return
     todo = STEPS[:-1] if args.step == "all" else (args.step,)
     if "ingest" in todo:
         if args.checkpoints:

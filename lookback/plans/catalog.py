@@ -41,6 +41,7 @@ from lookback.operators.pit import (
 )
 from lookback.plans import bindings as b
 from lookback.operators.changes import apply_changes
+from lookback.operators.keyed import lookup_few, write_keyed
 from lookback.operators.layout import compact, z_ordered
 from lookback.operators.versions import replace_version
 from lookback.plans import incremental, layers, rules
@@ -814,6 +815,15 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.training_set(label_lookup(spark, sf_dir), features)
 
 
+@query
+def lookup_few_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the impressions of a few users, from files with Bloom filters."""
+    folder = scratch_dir(spark, "features")
+    write_keyed(_features(spark, sf_dir), folder, ["user_id", "value_prop"], ["day"], schemas.ENTITY)
+    spine = b.impressions(spark, sf_dir).where("user_id % 97 = 3")
+    return lookup_few(spine, load(spark, folder), schemas.EVENT_KEY, schemas.FEATURE_NAMES)
+
+
 @query
 def train_test_split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = training.hash_split(label_lookup(spark, sf_dir), schemas.EVENT_KEY)

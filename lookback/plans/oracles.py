@@ -493,4 +493,7 @@ SELECT *, 'silver' AS place FROM pays WHERE value_prop IS NOT NULL AND total >=
 UNION ALL
 SELECT *, CASE WHEN value_prop IS NOT NULL AND total >= -2 THEN 'released' ELSE 'held' END FROM pays
 WHERE value_prop IS NULL OR total < 0""",
+    "lookup_few_keys": f"""WITH {_TABLES}, {_features('f')}
+SELECT prints.*, views_3w, taps_3w, pays_3w, amount_3w, ctr_3w, avg_ticket_3w
+FROM prints LEFT JOIN f USING (day, user_id, value_prop, position) WHERE user_id % 97 = 3""",
 }

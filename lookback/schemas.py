@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The names and types of all columns below.
 ENTITY = ["user_id", "value_prop"]
 EVENT_KEY = ["day", "user_id", "value_prop", "position"]
 

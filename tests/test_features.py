@@ -8,7 +8,7 @@ import pytest
 
 from lookback import compute_features, schemas
 from lookback.operators.pit import FORMS, EventSource, Metric, pit_features, typed_events
-from lookback.plans.features import compute_features_sql
+from lookback.plans.features import compute_features_sql, features_from_log
 
 D = dt.date(2020, 11, 30)
 
@@ -31,50 +31,71 @@ def rows(df):
 
 @pytest.mark.parametrize("form", FORMS)
 def test_window_includes_day_1_and_21_but_not_0_and_22(spark, form):
-    prints = [(days_before(n), 1, "point", 0) for n in (0, 1, 21, 22)]
+    prints = [(days_before(n), 41, "transport", 2) for n in (0, 1, 2, 21, 22, 23)]
     df = compute_features(
         *frames(
             spark,
             prints,
-            [(D, 1, "point", 0)],
-            [(days_before(5), 1, "point", 10.0)],
+            [(D, 41, "transport", 7), (days_before(21), 41, "transport", 2), (days_before(22), 41, "transport", 2)],
+            [(days_before(n), 41, "transport", 2.0**n) for n in (0, 1, 8, 21, 22)],
         ),
         form=form,
     )
     got = {r["day"]: r for r in rows(df)}[D]
-    assert (got["views_3w"], got["taps_3w"], got["pays_3w"]) == (2, 0, 1)
-    assert got["amount_3w"] == 10.0
+    assert (got["views_3w"], got["taps_3w"], got["pays_3w"]) == (3, 1, 3)
+    assert got["amount_3w"] == 2 + 256 + 2097152
     assert got["clicked"] == 1
 
 
 @pytest.mark.parametrize("form", FORMS)
 def test_click_elsewhere_and_same_day_payment_count_for_nothing(spark, form):
+    taps = [(D, 41, "send_money", 2), (D, 42, "transport", 2), (days_before(1), 41, "transport", 2)]
     df = compute_features(
-        *frames(
-            spark, [(D, 1, "point", 0)], [(D, 1, "prepaid", 0)], [(D, 1, "point", 5.0)]
-        ),
-        form=form,
+        *frames(spark, [(D, 41, "transport", 2)], taps, [(D, 41, "transport", 3.75)]), form=form
     )
     (got,) = rows(df)
-    assert got["clicked"] == 0
+    assert got["clicked"] == 0 and got["taps_3w"] == 1
     assert got["amount_3w"] == 0.0 and got["pays_3w"] == 0
 
 
 @pytest.mark.parametrize("form", FORMS)
 def test_ratios_and_history_as_a_bag(spark, form):
-    past = days_before(3)
+    past = days_before(17)
     df = compute_features(
         *frames(
             spark,
-            [(D, 1, "point", 0), (past, 1, "point", 0), (past, 1, "point", 0)],
-            [(past, 1, "point", 0)],
-            [(past, 1, "point", 100.0), (past, 1, "point", 50.0)],
+            [(D, 8, "link_cobro", 1), *[(past, 8, "link_cobro", 3)] * 4],
+            [(past, 8, "link_cobro", 3)],
+            [(past, 8, "link_cobro", 12.5), (past, 8, "link_cobro", 12.5), (days_before(2), 8, "link_cobro", 2.0)],
         ),
         form=form,
     )
     got = {r["day"]: r for r in rows(df)}[D]
-    assert got["views_3w"] == 2 and got["taps_3w"] == 1 and got["ctr_3w"] == 0.5
-    assert got["pays_3w"] == 2 and got["avg_ticket_3w"] == 75.0
+    assert got["views_3w"] == 4 and got["taps_3w"] == 1 and got["ctr_3w"] == 0.25
+    assert got["pays_3w"] == 3 and got["avg_ticket_3w"] == 9.0
+
+
+def test_one_log_equals_three_tables(spark):
+    """With NULLs in any part of the key, copies, and amounts that fit no unit."""
+    rng = random.Random(12)
+    some = lambda *values: rng.choice([*values, *values, None])
+    events = [
+        (some(*map(days_before, range(30))), some(1, 2, 3), some("point", "prepaid"), some(0, 1), rng.choice(["print", "tap", "pay"]))
+        for _ in range(500)
+    ]
+    events += events[:100]
+    log = spark.createDataFrame(
+        [(d, u, v, p if t != "pay" else None, t, some(1.25, 1e300, float("nan"), 7.5) if t == "pay" else None) for d, u, v, p, t in events],
+        "ev_day date, user_id long, value_prop string, position int, etype string, amount double",
+    )
+    named = log.withColumnRenamed("ev_day", "day")
+    prints, taps = (named.where(f"etype = '{t}'").select(*schemas.EVENT_KEY).distinct() for t in ("print", "tap"))
+    pays = named.where("etype = 'pay'").withColumnRenamed("amount", "total").select(*schemas.PAYMENTS.names)
+    want = compute_features(prints, taps, pays, last_day=D, amount_scale=2).drop("_computed_at")
+    got = features_from_log(log, D, amount_scale=2).drop("_computed_at")
+    assert got.columns == want.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect())) and want.count() > 20
+    assert features_from_log(log.limit(0), D).count() == 0
 
 
 def test_only_the_serving_week_is_served(spark):

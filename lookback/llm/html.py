@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -67,6 +68,14 @@ FURNITURE_WORDS = re.compile(
     r"comments?|commentlist|repl(?:y|ies)|respond|disqus|search|copyright|pagination|pager|skip|"
     r"banner|toolbar|alert)(?![a-z])"
 )
+#: Within an article a name is furniture's if it ends with such a word, or if one of these
+#: follows: "related-posts" is, "related-work" or "side-effects" name the author's subject.
+ENDING = re.compile(
+    r"[-_ ]*(?:bar|block|body|box|btn|buttons?|cards?|container|content|feed|forms?|group|inner|items?|"
+    r"label|links?|list|outer|panel|posts?|row|section|slot|stories|text|title|tools?|unit|widgets?|"
+    r"wrap|wrapper|zone|\d+)?s?"
+    r"(?:[-_ ]+(?:bar|box|container|inner|item|left|link|links|list|right|row|top|bottom|wrap|wrapper|\d+))*$"
+)
 HEADER_WORDS = re.compile(r"(?:^|[^a-z])(?:header|topbar|head)(?![a-z])")
 #: Comments may be longer than the text they follow.
 COMMENT_WORDS = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|repl(?:y|ies)|respond|disqus)(?![a-z])")
@@ -81,6 +90,12 @@ def _attributes(text: str) -> dict[str, str]:
     }
 
 
+def _names_furniture(name: str, in_article: bool) -> bool:
+    if in_article:
+        return any(ENDING.match(name, found.end()) for found in FURNITURE_WORDS.finditer(name))
+    return bool(FURNITURE_WORDS.search(name) or HEADER_WORDS.search(name))
+
+
 def _furniture(tag: str, attrs: str, in_article: bool) -> str:
     """Why an element is furniture: "sure", or "named", "form" or "comment", which may be wrong."""
     if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
@@ -95,7 +110,7 @@ def _furniture(tag: str, attrs: str, in_article: bool) -> str:
             names = [STATE.sub("", name) for name in names.lower().split()]
             if any(COMMENT_WORDS.search(name) for name in names):
                 return "comment"
-            if any(FURNITURE_WORDS.search(n) or (not in_article and HEADER_WORDS.search(n)) for n in names):
+            if any(_names_furniture(name, in_article) for name in names):
                 return "named"
     return "form" if tag == "form" else ""
 
@@ -104,19 +119,28 @@ class Page:
     """Blocks of text of one page and its block-level elements, read in one pass.
 
     ``blocks`` holds (text, in main part, furniture); ``elements`` holds (hash of the
-    subtree, first block, end of its blocks) of those that a template may have put there:
+    subtree, first block, end of its blocks, words if an article or main element holds it,
+    else ``ANYWHERE``) of those that a template may have put there:
     not the main part or what contains it, and within it no paragraphs, headings, items
     or cells, which are the author's even where they repeat.
 
     Forms and elements that only their names make furniture are judged when the page has
     been read: one that holds the article (if no article is outside of all of them), or
-    most of the main part's text, is none.
+    most of the main part's text, is none. What an inline element holds that is surely
+    furniture, such as a button, leaves the text around it whole. Every tag takes a
+    constant number of steps, whatever is open.
     """
 
     def __init__(self, html: str) -> None:
         self.blocks: list[tuple[str, bool, bool]] = []
-        self.elements: list[tuple[int, int, int]] = []
+        self.elements: list[tuple[int, int, int, int]] = []
         self.buffer: list[str] = []
+        # Places on the stack of open elements: by tag, of blocks, of those that end a scope.
+        self.open: defaultdict[str, list[int]] = defaultdict(list)
+        self.open_blocks: list[int] = [0]
+        self.open_scopes: list[int] = [0]
+        # Texts put aside while an inline piece of furniture is read, by its place.
+        self.aside: list[tuple[int, list[str]]] = []
         # tag, first block, in article, in main, furniture, hash so far, number, doubt, in doubt
         self.stack: list[list] = [["", 0, False, False, False, xxhash.xxh64(), 0, "", False]]
         self.started = 0
@@ -165,10 +189,12 @@ class Page:
                 gone.append(d)
         covered = self._covered(gone)
         self.marks = [(a, m, f or c) for (a, m, f), c in zip(self.marks, covered, strict=True)]
+        words = [0, *accumulate(len(text.split()) for text, _, _ in self.blocks)]
         numbers = sorted({p[2] for p in [*(q for q in self.parts if not q[5]), *free]})
         for value, first, stop, number, last in self.found:
             if bisect_right(numbers, last) == bisect_right(numbers, number):
-                self.elements.append((value, first, stop))
+                a, m, _ = self.marks[first]
+                self.elements.append((value, first, stop, words[stop] - words[first] if a or m else ANYWHERE))
 
     def _covered(self, ranges: list[tuple]) -> list[bool]:
         change = [0] * (len(self.blocks) + 1)
@@ -228,8 +254,9 @@ class Page:
         _, _, article, main, furniture, _, _, _, unsure = self.stack[-1]
         doubt = "" if furniture else _furniture(tag, attrs, article)
         furniture = furniture or doubt == "sure"
-        if doubt == "sure" and unsure:
-            self._flush()  # an inline one, such as a button, in a form that may stay
+        if doubt == "sure" and tag not in BLOCKS:
+            self.aside.append((len(self.stack), self.buffer))
+            self.buffer = []
         part = ""
         if (tag in ("article", "main") or 'role="main"' in attrs) and not furniture:
             part = "article" if tag == "article" else "main"
@@ -238,37 +265,45 @@ class Page:
         digest = xxhash.xxh64(tag.encode()) if block else self.stack[-1][5]
         self.started += 1
         unsure = unsure or doubt in ("named", "form", "comment")
+        self.open[tag].append(len(self.stack))
+        if block:
+            self.open_blocks.append(len(self.stack))
+        if tag in SCOPE:
+            self.open_scopes.append(len(self.stack))
         self.stack.append(
             [tag, len(self.blocks), article, main, furniture, digest, self.started, part or doubt, unsure]
         )
 
     def _imply(self, tags: frozenset[str]) -> None:
         """Close the innermost of ``tags`` within the current scope, if one is open."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[i][0]
-            if tag in tags:
-                self._flush()
-                while len(self.stack) > i:
-                    self._pop()
-                return
-            if tag in SCOPE:
-                return
+        at = max((self.open[tag][-1] for tag in tags if self.open[tag]), default=0)
+        # Inline furniture is a scope of its own, as a button is.
+        if at and at >= max(self.open_scopes[-1], self.aside[-1][0] if self.aside else 0):
+            self._flush()
+            while len(self.stack) > at:
+                self._pop()
 
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:
             self._flush()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                if tag not in BLOCKS and any(s[0] in BLOCKS for s in self.stack[i + 1 :]):
-                    return  # a stray end of an inline element closes no block
-                while len(self.stack) > i:
-                    self._pop()
-                return
+        if not self.open[tag]:
+            return
+        at = self.open[tag][-1]
+        if tag not in BLOCKS and self.open_blocks[-1] > at:
+            return  # a stray end of an inline element closes no block
+        while len(self.stack) > at:
+            self._pop()
 
     def _pop(self) -> None:
-        if self.stack[-1][7] == "sure" and self.stack[-1][8]:
+        if self.aside and self.aside[-1][0] == len(self.stack) - 1:
             self._flush()
+            self.buffer = self.aside.pop()[1]
         tag, first, article, main, _, digest, number, kind, unsure = self.stack.pop()
+        self.open[tag].pop()
+        if tag in BLOCKS:
+            self.open_blocks.pop()
+        if tag in SCOPE:
+            self.open_scopes.pop()
         stop, last = len(self.blocks), self.started
         if kind in ("article", "main"):
             self.parts.append((first, stop, number, last, kind, unsure))
@@ -283,9 +318,11 @@ class Page:
             self.found.append((value - (1 << 63), first, stop, number, last))
 
 
+#: In the place of the words of an element outside of main parts.
+ANYWHERE = (1 << 31) - 1
 PARSED = (
     "core long, blocks array<struct<text:string,main:boolean,furniture:boolean>>, "
-    "elements array<struct<hash:bigint,start:int,stop:int,live:boolean>>"
+    "elements array<struct<hash:bigint,start:int,stop:int,live:boolean,words:int>>"
 )
 
 
@@ -297,7 +334,7 @@ def parsed(html: Column) -> Column:
     kind = ",".join(f"{p.split(' ')[0]}:{p.split(' ')[1]}" for p in PARSED.split(", "))
     block = pa.struct([("text", pa.string()), ("main", pa.bool_()), ("furniture", pa.bool_())])
     element = pa.struct(
-        [("hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("live", pa.bool_())]
+        [("hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("live", pa.bool_()), ("words", pa.int32())]
     )
     whole = pa.struct([("core", pa.int64()), ("blocks", pa.list_(block)), ("elements", pa.list_(element))])
 
@@ -312,8 +349,8 @@ def parsed(html: Column) -> Column:
                 for keep, (text, main, furniture) in zip(held, page.blocks, strict=True)
             ],
             "elements": [
-                {"hash": value, "start": start, "stop": stop, "live": upto[stop] > upto[start]}
-                for value, start, stop in page.elements
+                {"hash": value, "start": start, "stop": stop, "live": upto[stop] > upto[start], "words": words}
+                for value, start, stop, words in page.elements
             ],
         }
 
@@ -340,21 +377,24 @@ def main_text(
     min_pages: int = 5,
     min_share: float = 0.05,
     many_pages: int = 50,
+    min_words: int = 8,
 ) -> DataFrame:
     """Main text of every page: (``id_col``, ``url_col``, ``text``, ``n_chars``).
 
     Pages are read into block-level elements and blocks of text (character references
     decoded, white space made single spaces). Every element's subtree is hashed; one that
     occurs with ``min_pages`` or more different main texts of its host, and with at least
-    ``min_share`` of them or ``many_pages``, whichever is fewer, is a template's and its
-    blocks go: on no host does a template need more. Copies of one article count
+    ``min_share`` of them, is a template's and its blocks go. On large hosts ``many_pages``
+    are enough, within an article or main element only for one of ``min_words`` words or more:
+    shorter ones, down to a list of one word, are ordinary content of many articles. Copies of one article count
     once, so that copied articles are no template. Then what navigation, header, footer,
     side, form, notice, advert or comment elements hold goes, by element, role, class and
     id, and if the page has an article (else a main) element, what is outside it. The
     remaining blocks are joined by two line ends.
 
     A null or empty page has an empty text. A null or strange url counts as the host
-    without a name. Repeated rows stay, one result each. No rows give no rows.
+    without a name. Repeated rows stay, one result each. No rows give no rows. A page takes
+    time and memory in proportion to its length, however its tags are nested or broken.
 
     The counting is keyed by host and subtree and combined before the shuffle, so a host
     with a third of all pages is spread over all tasks. Of the templates only what they
@@ -373,19 +413,19 @@ def main_text(
         "zstd",
     )
     parts = rows.select("row", "host", "core", F.explode("elements").alias("e")).select(
-        "row", "host", "core", "e.hash", "e.start", "e.stop", "e.live"
+        "row", "host", "core", "e.hash", "e.start", "e.stop", "e.live", "e.words"
     )
     hosts = rows.select("host", "core").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     often = (
-        parts.select("host", "hash", "core")
+        parts.select("host", "hash", "core", "words")
         .distinct()
         .groupBy("host", "hash")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.max("words").alias("words"))
         .where(F.col("n") >= min_pages)
     )
     templates = (
         often.join(hosts, "host")
-        .where((F.col("n") >= min_share * F.col("pages")) | (F.col("n") >= many_pages))
+        .where((F.col("n") >= min_share * F.col("pages")) | ((F.col("n") >= many_pages) & (F.col("words") >= min_words)))
         .select("host", "hash")
     )
     gone = (

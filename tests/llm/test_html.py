@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from lookback.llm.html import Page, main_text
@@ -118,3 +121,80 @@ BODY = "<h1>Title</h1><p>First part of the text</p><p>Second part of the text</p
 )
 def test_names_do_not_condemn_what_holds_the_text(html):
     assert kept(f"<html><body>{html}</body></html>") == ["Title", "First part of the text", "Second part of the text"]
+
+
+@pytest.mark.parametrize("name", ["side-effects", "related-work", "notice-period", "social-impact", "searching-methods"])
+def test_names_of_an_articles_subject_are_no_furniture(name):
+    page = f'<article><p>First part of it.</p><section class="{name}"><p>Second part.</p></section></article>'
+    assert kept(page) == ["First part of it.", "Second part."]
+
+
+@pytest.mark.parametrize("name", ["related-posts", "sidebar", "ad-slot", "ad-slot-2", "social-share", "newsletter-box", "share", "advert"])
+def test_furniture_in_an_article_goes_by_its_name(name):
+    page = f'<article><p>First part of the whole text.</p><div class="{name}"><p>Not this.</p></div></article>'
+    assert kept(page) == ["First part of the whole text."]
+
+
+def kept(page):
+    return [text for text, main, furniture in Page(page).blocks if main and not furniture]
+
+
+def test_inline_furniture_leaves_the_text_around_it_whole():
+    page = (
+        "<article><p>Press <button>OK</button> now</p><p>a <svg><title>x</title></svg>b <span hidden>zz</span>c</p>"
+        "<p>before <button><div>in it</div></button> after</p></article>"
+    )
+    assert kept(page) == ["Press now", "a b c", "before after"]
+
+
+@pytest.mark.parametrize("opened, ends", [("<div>", "</section>"), ("<b>", "</i>"), ("<b>", "<p>"), ("<i><div>", "</i>"), ("<li>", "</ul>")])
+def test_stray_ends_take_linear_time(opened, ends):
+    began = time.monotonic()
+    Page(opened * 40_000 + "x" + ends * 40_000)
+    assert time.monotonic() - began < 10
+
+
+def test_short_content_of_articles_on_a_large_host_stays(spark):
+    tag, notice = "<ul><li>News</li></ul>", "<div>This notice stands in sixty of the articles of the host.</div>"
+    rows = [
+        (i, "https://a.test/", f"<article><p>Text {i} of it.</p>{tag if i % 25 == 0 else ''}{notice if i % 25 == 1 else ''}</article>")
+        for i in range(1500)
+    ]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[25] == "Text 25 of it.\n\nNews" and got[26] == "Text 26 of it."
+
+
+def brute_main(rows, least=5):
+    """Counting and removal by plain loops, over pages without names or furniture."""
+    pages = {i: (url, Page(html)) for i, url, html in rows}
+    seen = {}
+    for url, page in pages.values():
+        for value, *_ in page.elements:
+            seen.setdefault((url, value), set()).add(page.core)
+    cores = {}
+    for url, page in pages.values():
+        cores.setdefault(url, set()).add(page.core)
+    out = {}
+    for i, (url, page) in pages.items():
+        gone = set()
+        for value, first, stop, words in page.elements:
+            n = len(seen[url, value])
+            if n >= least and (n >= 0.05 * len(cores[url]) or (n >= 50 and words >= 8)):
+                gone |= set(range(first, stop))
+        out[i] = "\n\n".join(t for n, (t, m, f) in enumerate(page.blocks) if n not in gone and m and not f)
+    return out
+
+
+def test_counting_and_removal_equal_plain_loops(spark):
+    rng = random.Random(6)
+    parts = [f"<div><p>Part {i} of a site</p><ul><li>x{i}</li></ul></div>" for i in range(12)]
+    rows = []
+    for i in range(400):
+        body = "".join(rng.choice(parts[: 3 + i % 10]) for _ in range(rng.randint(0, 3)))
+        own = f"<p>Own text {rng.randrange(300)}</p>"
+        shape = rng.choice(["<body>{}{}</body>", "<body><main>{1}</main>{0}</body>", "<article>{}{}</article>"])
+        rows.append((i, f"host{i % 3}", shape.format(body, own)))
+    want = brute_main(rows)
+    urls = [(i, f"https://{host}.test/{i}", html) for i, host, html in rows]
+    got = main_text(spark.createDataFrame(urls, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want

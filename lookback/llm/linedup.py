@@ -236,10 +236,15 @@ def dedup_lines(
     lines = staged(every.join(seen, ["h1", "h2"]), "lines-repeated")
     ranges = deleted_ranges(lines, min_words).select(F.col("row").alias("lb_row"), F.col("ranges").alias("lb_ranges"))
     pieces = F.split(F.col(text_col), "\n")
-    kept = F.filter(
-        pieces,
-        lambda _, i: ~F.exists("lb_ranges", lambda r: (i >= r["start"]) & (i <= r["stop"])),
+    # What lies between the ranges, which are sorted and disjoint: one pass over the lines.
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("lb_ranges", lambda r: r["stop"] + 1))
+    stops = F.transform("lb_ranges", lambda r: r["start"])
+    between = lambda p: F.zip_with(
+        starts,
+        F.concat(stops, F.array(F.size(p).cast("long"))),
+        lambda a, b: F.slice(p, (a + 1).cast("int"), (b - a).cast("int")),
     )
+    kept = F.flatten(F.transform(F.array(pieces), lambda p: F.flatten(between(p))))
     total = F.aggregate("lb_ranges", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"] + 1)
     text = F.when(F.col("lb_ranges").isNull(), F.col(text_col)).otherwise(F.concat_ws("\n", kept))
     joined = rows.join(ranges, "lb_row", "left")

@@ -275,6 +275,7 @@ def judge(
     path: Column,
     text_col: str = "text",
     threshold: float = 0.5,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` with ``doc_score``, ``site_score``, ``quality`` and ``kept`` added.
 
@@ -284,15 +285,22 @@ def judge(
     shrink towards what lies above them. A document's own score is left out of its site.
     ``quality`` is its posterior: the classifier's log odds moved by those of its site
     against the global mean. A text without words has null scores and is not kept. A null
-    host or path is a site of its own. No rows give no rows.
+    host or path is a site of its own. No rows give no rows. A text takes time and memory
+    in proportion to its length.
+
+    Rows are written once with their scores, so each text is scored once; both the sums and
+    the result read that. ``keep_text`` false leaves the text out there and in the result.
 
     Sums per site are combined before the shuffle, so a host with a third of all rows is
     a few rows per task. The site table joins by its measured size: Spark broadcasts it
     while small and otherwise sorts, splitting a hot site.
     """
     score = classifier_score(model, F.col(text_col))
-    names = docs.columns
     scored = docs.withColumns({"lb_host": host, "lb_path": path, "doc_score": score})
+    if not keep_text:
+        scored = scored.drop(text_col)
+    names = [c for c in docs.columns if keep_text or c != text_col]
+    scored = staged(scored, "quality-scores")
     groups = (
         scored.where("doc_score IS NOT NULL")
         .groupBy("lb_host", "lb_path")

@@ -95,7 +95,7 @@ def op7_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    judged = judge(docs, model, host=F.col("source"), path=F.col("lang"))
+    judged = judge(docs, model, host=F.col("source"), path=F.col("lang"), keep_text=False)
     return judged.select("doc_id", "doc_score", "site_score", "quality", "kept")
 
 

@@ -172,6 +172,10 @@ def kneser_ney(counts: DataFrame, order: int) -> tuple[list[DataFrame], list[Dat
     return found, [weights[m] for m in range(order)]
 
 
+#: Log probabilities are multiples of 1 / FINE: few enough bits for arrays of short floats.
+FINE = float(1 << 18)
+
+
 @dataclass
 class HashedModel:
     """Sorted hash arrays per language and order, with logarithms beside them.
@@ -185,10 +189,11 @@ class HashedModel:
     contexts: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
 
     @classmethod
-    def collect(cls, levels: list[DataFrame], weights: list[DataFrame]) -> HashedModel:
+    def collect(cls, levels: list[DataFrame], weights: list[DataFrame], least: int = 1) -> HashedModel:
+        """Tables of consecutive orders from ``least`` on, and of contexts one shorter."""
         grams, contexts = {}, {}
-        for held, tables, value, least in ((grams, levels, "lp", 1), (contexts, weights, "lg", 0)):
-            for m, one in enumerate(tables, least):
+        for held, tables, value, first in ((grams, levels, "lp", least), (contexts, weights, "lg", least - 1)):
+            for m, one in enumerate(tables, first):
                 rows = one.select("lang", "gram", value).toArrow()
                 langs = rows["lang"].combine_chunks().dictionary_encode()
                 for code, lang in enumerate(langs.dictionary.to_pylist()):
@@ -196,7 +201,7 @@ class HashedModel:
                     key = rows["gram"].to_numpy()[mine].astype(np.uint64) * PRIME
                     order = np.argsort(key)
                     held[lang, m] = key[order], rows[value].to_numpy()[mine][order].astype(np.float32)
-        return cls(len(levels), grams, contexts)
+        return cls(least + len(levels) - 1, grams, contexts)
 
     def scores(self, lang: str, grams: np.ndarray) -> np.ndarray:
         """Log probability of the last byte of each gram, backing off where it is unknown."""
@@ -341,9 +346,12 @@ def quality_rules(
 
     The model is a modified Kneser-Ney model of byte N-grams over the words joined by
     single spaces, one per language, counted over all documents. Counting and the model's
-    tables are Spark aggregations. With up to ``max_grams`` grams the model is broadcast
-    as sorted hash arrays (20 bytes a gram, so its size is bounded); a larger one is
-    joined with the documents' distinct grams instead, with the same result.
+    tables are Spark aggregations. Every gram of a document is in the model, so documents
+    need its highest order only. With up to ``max_grams`` of these grams they are broadcast
+    as sorted hash arrays: 12 bytes a gram, and some 30 on their way to the driver, 240 MB
+    at most. A larger model is joined with the documents' distinct grams instead. Log
+    probabilities are rounded to 2^-18, which makes their sums exact in any order, so both
+    ways give equal scores and verdicts.
 
     Null and empty texts have no words, no perplexity and fail the base rules. A null
     language is one of its own. Repeated rows stay; null ids stay null. No rows give no
@@ -356,12 +364,13 @@ def quality_rules(
         _language(F.col(lang_col)).alias("lang"),
         F.col(text_col).cast("binary").alias("text"),
     )
+    top = tables[0][-1].select("lang", "gram", (F.round(F.col("lp") * FINE) / FINE).alias("lp"))
     if counts.count() <= max_grams:
-        model = HashedModel.collect(*tables)
+        model = HashedModel.collect([top], [], least=order)
         model = docs.sparkSession.sparkContext.broadcast((model.grams, model.contexts))
         measured = _measured(rows, order, model)
     else:
-        measured = _joined(rows, order, tables[0][-1])
+        measured = _joined(rows, order, top)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     measured = staged(measured.withColumn("base_failed", failed), "kn-scored")
     reach = F.col("reach") * (1 + short / F.greatest("n_words", F.lit(1)))

@@ -100,10 +100,27 @@ def test_perplexity_and_both_lookups(corpus):
     assert small[1].perplexity == pytest.approx(want, rel=1e-4)
     for i, row in small.items():
         assert row.kept == joined[i].kept
-        if row.perplexity is None:
-            assert joined[i].perplexity is None
-        else:
-            assert row.perplexity == pytest.approx(joined[i].perplexity, rel=1e-4)
+        assert (row.perplexity, row.low, row.high) == (joined[i].perplexity, joined[i].low, joined[i].high)
+
+
+def test_bands_and_verdicts_equal_plain_loops(corpus):
+    rows = [r for r in quality_rules(corpus, order=3).collect() if r.doc_id is not None]
+    texts = {r.doc_id: (r.lang, r.text) for r in corpus.collect()}
+    middle = lambda x: sorted(x)[(len(x) - 1) // 2]
+    for lang in {lang for lang, _ in texts.values()}:
+        own = [r for r in rows if texts[r.doc_id][0] == lang]
+        cells = [math.floor(math.log(r.perplexity) * 1000 + 0.5) for r in own if not r.base_failed]
+        if not cells:
+            assert not any(r.kept for r in own)
+            continue
+        centre = middle(cells)
+        reach = max(1, middle([abs(c - centre) for c in cells])) * 1.4826 * 3.2 / 1000
+        for r in own:
+            if r.perplexity is not None:
+                wide = reach * (1 + 50 / max(1, r.n_words))
+                assert math.log(r.low) == pytest.approx(centre / 1000 - wide, abs=1e-9)
+                assert math.log(r.high) == pytest.approx(centre / 1000 + wide, abs=1e-9)
+                assert r.kept == (not r.base_failed and abs(math.log(r.perplexity) - centre / 1000) <= wide)
 
 
 def test_bands_reject_what_is_far_from_its_language(spark, words):

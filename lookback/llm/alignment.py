@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -67,6 +68,8 @@ class TokenizerPair:
 
     @cached_property
     def a(self) -> tokenizers.Tokenizer:
+        # Spark gives a task one core; threads beside it also keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = tokenizers.Tokenizer.from_str(self.a_json)
         tokenizer.encode_special_tokens = True
         return tokenizer

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from itertools import chain, count, islice, pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -24,16 +25,24 @@ MEMBERS = 32
 TAIL_CLASSES = 10
 #: Documents looked at together, distinct words counted together, tokens packed together.
 DOCS, WORDS, TOKENS = 500, 200_000, 8_000_000
+#: Words outside the head, at most, whose counts are sent to all tasks; all others are joined.
+LISTED = 1 << 17
 #: Sixteenths of the training documents that each round learns from, all of them once.
 ROUNDS = ((0, 1), (1, 4), (4, 16))
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) - (1 << 63)
+def word_hashes(words: Iterable[bytes]) -> np.ndarray:
+    """XXH64 of each word, less 2^63."""
+    return (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def tail_class(word: bytes) -> int:
-    return 2 * min(len(word) // 3, TAIL_CLASSES // 2 - 1) + (word[-1:] in b".,;:!?" and len(word) > 0)
+def tail_classes(words: Iterable[bytes]) -> np.ndarray:
+    """Class of each word by length and final punctuation."""
+    words = list(words)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    last = b"".join(w[-1:] or b" " for w in words)
+    stop = np.isin(np.frombuffer(last, np.uint8), np.frombuffer(b".,;:!?", np.uint8))
+    return 2 * np.minimum(size // 3, TAIL_CLASSES // 2 - 1) + stop
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -63,8 +72,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def _counted(seen: Counter[bytes]) -> pa.RecordBatch:
     arrays = [
-        pa.array([word_hash(w) for w in seen], pa.int64()),
-        pa.array([tail_class(w) for w in seen], pa.int32()),
+        pa.array(word_hashes(seen), pa.int64()),
+        pa.array(tail_classes(seen), pa.int32()),
         pa.array(list(seen.values()), pa.int64()),
     ]
     return pa.RecordBatch.from_arrays(arrays, names=["word", "kind", "c"])
@@ -72,16 +81,23 @@ def _counted(seen: Counter[bytes]) -> pa.RecordBatch:
 
 @dataclass
 class Vocabulary:
-    """Head words by falling count (the end first) and what the tail classes sum up to."""
+    """Head words by falling count (the end first) and what the tail classes sum up to.
+
+    ``listed`` holds all words that occur ``least`` times or more, by hash, and ``often`` how
+    often each of them does; without them, every word outside the head is looked up by a join.
+    """
 
     head: dict[int, int]
     counts: np.ndarray
     tail: np.ndarray
     total: int
     distinct: int
+    listed: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    often: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    least: int | None = None
 
     @classmethod
-    def of(cls, counts: DataFrame, head_words: int) -> Vocabulary:
+    def of(cls, counts: DataFrame, head_words: int, listed_words: int) -> Vocabulary:
         whole = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
         top = counts.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(head_words - 1).collect()
         end = counts.where(F.col("word") == END).agg(F.sum("c").alias("c")).first()["c"] or 0
@@ -89,76 +105,164 @@ class Vocabulary:
         held = np.zeros((TAIL_CLASSES, 2))
         for r in counts.groupBy("kind").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
             held[r["kind"]] = r["n"], r["v"]
-        for r in [*top, {"kind": tail_class(b""), "c": end}]:
+        for r in [*top, {"kind": int(tail_classes([b""])[0]), "c": end}]:
             held[r["kind"]] -= r["c"], 1
+        least, listed = cls._least(counts, listed_words), counts.select("word", "c").limit(0)
+        if least is not None:
+            listed = counts.select("word", "c").where(F.col("c") >= least)
+        listed = listed.toArrow().sort_by("word")
         return cls(
             head,
             np.array([end, *(r["c"] for r in top)], float),
             np.maximum(held, 0),
             int(whole["n"] or 0),
             int(whole["v"]),
+            listed["word"].to_numpy(),
+            listed["c"].to_numpy(),
+            least,
         )
 
+    @staticmethod
+    def _least(counts: DataFrame, most: int) -> int | None:
+        """The least count that at most ``most`` words reach, among the starts of count ranges.
+
+        Ranges are an eighth of a doubling wide, so there are few, however large the counts;
+        None if too many words share the highest one.
+        """
+        bands = counts.groupBy(F.floor(F.log2("c") * 8).alias("band")).agg(F.min("c").alias("c"), F.count("*").alias("n"))
+        least, held = None, 0
+        for r in bands.orderBy(F.desc("band")).collect():
+            held += r["n"]
+            if held > most:
+                break
+            least = r["c"]
+        return least
+
+
+@dataclass
+class _Known:
+    """What a task knows of the words it has met: places by word, and their values by place."""
+
+    vocab: Vocabulary
+
+    def __post_init__(self) -> None:
+        self.place: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.hashes, self.codes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known, self.gain = np.zeros(0, bool), np.zeros(0)
+        self.base, self.joined = np.zeros(0), np.zeros(0, bool)
+
+    def places(self, words: Iterable[bytes], n: int) -> np.ndarray:
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, n)
+        if len(self.place) > len(self.hashes):
+            self._add(list(islice(self.place, len(self.hashes), None)))
+        return at
+
+    def _add(self, words: list[bytes]) -> None:
+        """Values of new words.
+
+        Head words have a code, are known if they have a count, and have their whole base
+        part in ``base``. Others have their class, the base part of an unseen word, and in
+        ``gain`` what their count, if listed, adds to it; the rest are ``joined``.
+        """
+        v = self.vocab
+        hashed = word_hashes(words)
+        first, part = len(v.counts), math.log10(v.total + 0.5 * (v.distinct + 1))
+        code = np.fromiter(map(v.head.get, hashed.tolist(), repeat(-1)), np.int64, len(words))
+        head = code >= 0
+        known, gain, joined = np.zeros(len(words), bool), np.zeros(len(words)), ~head
+        base = np.full(len(words), math.log10(0.5) - part)
+        known[head] = v.counts[code[head]] > 0
+        base[head] = np.log10((v.counts[code[head]] + 0.5) / (v.total + 0.5 * (v.distinct + 1)))
+        if len(v.listed):
+            at = np.minimum(np.searchsorted(v.listed, hashed), len(v.listed) - 1)
+            listed = ~head & (v.listed[at] == hashed)
+            known |= listed
+            gain[listed] = np.log10(v.often[at[listed]] + 0.5) - math.log10(0.5)
+            joined &= ~listed
+        code = np.where(head, code, first + tail_classes(words))
+        self.hashes, self.codes = np.append(self.hashes, hashed), np.append(self.codes, code)
+        self.known, self.gain = np.append(self.known, known), np.append(self.gain, gain)
+        self.base, self.joined = np.append(self.base, base), np.append(self.joined, joined)
+
 
 def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Tokens as small numbers, and what the words outside the head need looked up.
+    """Tokens as small numbers, and what the words not listed need looked up.
 
-    Adds ``n_tokens``, ``head_known``, ``head_base`` (sums over head tokens), ``codes``
-    (16-bit: head words, then tail classes) and the distinct tail words with counts.
+    Adds ``n_tokens``, ``codes`` (16-bit: head words, then tail classes), ``known`` and
+    ``base`` (sums over tokens, words to be looked up counted as unseen), ``inner`` (log10
+    of what tail words have within their classes, likewise) and the distinct words to be
+    looked up with their counts.
     """
-    base = np.log10((vocab.counts + 0.5) / (vocab.total + 0.5 * (vocab.distinct + 1)))
-    seen = vocab.counts > 0
     first = len(vocab.counts)
+    unseen = np.log10(0.5 / (vocab.tail[:, 0] + 0.5 * (vocab.tail[:, 1] + 1)))
+    worth = np.append(np.zeros(first), unseen)
     kind = rows.schema["id"].dataType.simpleString()
 
-    def some(texts: list[bytes | None]) -> Iterator[dict]:
-        place: dict[bytes, int] = {}
-        lists = [[place.setdefault(w, len(place)) for w in _words(t)] for t in texts]
-        hashed = np.array([word_hash(w) for w in place], np.int64)
-        head = np.array([vocab.head.get(h, -1) for h in hashed.tolist()], np.int64)
-        code = np.where(head >= 0, head, first + np.array([tail_class(w) for w in place], np.int64))
-        for places in lists:
-            at = np.array(places, np.int64)
-            codes = np.append(code[at], 0) if len(at) else np.zeros(1, np.int64)
-            inner = codes[codes < first]
-            word, n = np.unique(at[head[at] < 0], return_counts=True) if len(at) else (at, at)
-            yield {
-                "n_tokens": len(codes),
-                "head_known": int(seen[inner].sum()),
-                "head_base": float(base[inner].sum()),
-                "codes": codes.astype("<i2").tobytes(),
-                "words": hashed[word] if len(word) else [],
-                "ns": n,
-            }
-
-    added = [
-        ("n_tokens", pa.int64()),
-        ("head_known", pa.int64()),
-        ("head_base", pa.float64()),
-        ("codes", pa.binary()),
-        ("words", pa.list_(pa.int64())),
-        ("ns", pa.list_(pa.int64())),
-    ]
+    def some(met: _Known, texts: list[bytes | None]) -> list[pa.Array]:
+        lists = [_words(t) for t in texts]
+        for words in lists:
+            words.append(b"")
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ends = np.append(0, np.cumsum(sizes))
+        at = met.places(chain.from_iterable(lists), int(ends[-1]))
+        own = np.repeat(np.arange(len(lists)), sizes)
+        codes = met.codes[at]
+        total = lambda values: np.bincount(own, values[at], len(lists))
+        gain = total(met.gain)
+        inner = np.bincount(own, worth[codes], len(lists)) + gain
+        rest = met.joined[at]
+        pairs, ns = np.unique(own[rest] * len(met.hashes) + at[rest], return_counts=True)
+        cuts = np.searchsorted(pairs, np.arange(len(lists) + 1) * len(met.hashes))
+        offsets = pa.array(cuts, pa.int32())
+        data = codes.astype("<i2").tobytes()
+        return [
+            pa.array(sizes),
+            pa.array([data[2 * a : 2 * b] for a, b in pairwise(ends.tolist())], pa.binary()),
+            pa.array(total(met.known).astype(np.int64)),
+            pa.array(total(met.base) + gain),
+            pa.array(inner),
+            pa.ListArray.from_arrays(offsets, pa.array(met.hashes[pairs % len(met.hashes)])),
+            pa.ListArray.from_arrays(offsets, pa.array(ns.astype(np.int64))),
+        ]
+
+    names = ["n_tokens", "codes", "known", "base", "inner", "words", "ns"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = _Known(vocab)
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS):
                 part = batch.slice(at, DOCS)
-                found = list(some(part.column(3).to_pylist()))
-                arrays = [pa.array([f[n] for f in found], k) for n, k in added]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *arrays], names=["row", "id", "held_out", *(n for n, _ in added)]
-                )
+                arrays = some(met, part.column(3).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *arrays], names=["row", "id", "held_out", *names])
+                if len(met.place) > WORDS:
+                    met = _Known(vocab)
 
     return rows.select("row", "id", "held_out", "text").mapInArrow(
         run,
-        f"row long, id {kind}, held_out boolean, n_tokens long, head_known long, "
-        "head_base double, codes binary, words array<long>, ns array<long>",
+        f"row long, id {kind}, held_out boolean, n_tokens long, codes binary, known long, "
+        "base double, inner double, words array<long>, ns array<long>",
     )
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
+    """The logistic function, written over its argument."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
+
+
+def _gates(x: np.ndarray, size: int) -> np.ndarray:
+    """The three gates of the last axis put first, each one contiguous."""
+    return np.ascontiguousarray(np.moveaxis(x.reshape(*x.shape[:-1], 3, size), -2, 0))
+
+
+def _softmax(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores less their row's highest, written over them, then their exponentials and sums."""
+    score -= np.ascontiguousarray(score.T).max(0)[:, None]  # far faster than along short rows
+    e = np.exp(score)
+    return e, e.sum(1, keepdims=True)
 
 
 class Network:
@@ -211,41 +315,48 @@ class Network:
 
     def states(self, ids: np.ndarray, h: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States after each step of (steps, streams) input codes; -1 starts from zero."""
-        u, b, n = self.p["u"], self.p["b"], self.size
+        n, u = self.size, _gates(self.p["u"], self.size)
+        x = np.take(_gates(self.p["x"] + self.p["b"], n), np.maximum(ids, 0), axis=1)
+        fresh = ids < 0
+        starts = fresh.any(1)
         out = np.empty((*ids.shape, n), u.dtype)
-        for t, codes in enumerate(ids):
-            fresh = codes < 0
-            if fresh.any():
-                h = np.where(fresh[:, None], u.dtype.type(0), h)
-            x = self.p["x"][np.maximum(codes, 0)] + b
+        for t in range(len(ids)):
+            if starts[t]:
+                h = np.where(fresh[t][:, None], u.dtype.type(0), h)
             r = h @ u
-            gates = _sigmoid(x[:, : 2 * n] + r[:, : 2 * n])
-            z, reset = gates[:, :n], gates[:, n:]
-            new = np.tanh(x[:, 2 * n :] + reset * r[:, 2 * n :])
+            z, reset = _sigmoid(x[:2, t] + r[:2])
+            new = reset * r[2]
+            new += x[2, t]
+            np.tanh(new, out=new)
             if keep is not None:
-                keep.append((h, z, reset, new, r[:, 2 * n :], fresh))
-            h = new + z * (h - new)
-            out[t] = h
+                keep.append((h, z, reset, new, r[2], fresh[t]))
+            step = h - new
+            step *= z
+            h = np.add(new, step, out=out[t])
         return out, h
 
     def losses(self, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
         """Log probability of each target given its state; with ``grad``, also dLoss/dState.
 
         Targets of -1 are padding. Gradients are of the mean negative log probability.
+        Targets of one class lie together, so each class takes one product over its rows.
         """
         real = target >= 0
-        h, target = h[real], target[real]
+        whole = bool(real.all())
+        if not whole:
+            h, target = h[real], target[real]
         first = self.heads * MEMBERS
-        group = np.where(target < first, target // MEMBERS, target - first + self.heads)
-        score = h @ self.p["c"] + self.p["cb"]
-        score -= score.max(1, keepdims=True)
-        e = np.exp(score)
-        total = e.sum(1, keepdims=True)
+        tails = len(self.p["cb"]) - self.heads
+        classes = np.append(np.arange(first) // MEMBERS, self.heads + np.arange(tails))
+        group = classes.astype(np.int16)[target]
+        score = h @ self.p["c"]
+        score += self.p["cb"]
+        e, total = _softmax(score)
         every = np.arange(len(h))
         lp = score[every, group] - np.log(total[:, 0])
         back = None
         if grad is not None:
-            d = e / total
+            d = np.divide(e, total, out=e)
             d[every, group] -= 1
             d /= max(1, len(h))
             grad["c"], grad["cb"] = h.T @ d, d.sum(0)
@@ -253,30 +364,29 @@ class Network:
             grad["o"], grad["ob"] = np.zeros_like(self.p["o"]), np.zeros_like(self.p["ob"])
         order = np.argsort(group, kind="stable")
         ends = np.searchsorted(group[order], np.arange(self.heads + 1))
-        for k in range(self.heads):
-            at = order[ends[k] : ends[k + 1]]
-            if not len(at):
-                continue
-            inner = h[at] @ self.p["o"][k].T + self.p["ob"][k]
-            inner -= inner.max(1, keepdims=True)
-            e = np.exp(inner)
-            total = e.sum(1, keepdims=True)
-            own = np.arange(len(at))
-            member = target[at] % MEMBERS
-            lp[at] += inner[own, member] - np.log(total[:, 0])
-            if grad is not None:
-                d = e / total
-                d[own, member] -= 1
-                d /= max(1, len(h))
-                grad["o"][k], grad["ob"][k] = d.T @ h[at], d.sum(0)
-                back[at] += d @ self.p["o"][k]
-        full = np.zeros(len(real), lp.dtype)
-        full[real] = lp
-        if grad is None:
-            return full
-        whole = np.zeros((len(real), self.size), lp.dtype)
-        whole[real] = back
-        return full, whole
+        order = order[: ends[-1]]
+        held = h[order]
+        parts = [(k, slice(ends[k], ends[k + 1])) for k in range(self.heads) if ends[k] < ends[k + 1]]
+        score = np.empty((len(held), MEMBERS), lp.dtype)
+        for k, at in parts:
+            np.matmul(held[at], self.p["o"][k].T, out=score[at])
+            score[at] += self.p["ob"][k]
+        if parts:
+            e, total = _softmax(score)
+            every, member = every[: len(held)], target[order] % MEMBERS
+            lp[order] += score[every, member] - np.log(total[:, 0])
+        if parts and grad is not None:
+            d = np.divide(e, total, out=e)
+            d[every, member] -= 1
+            d /= max(1, len(h))
+            more = np.empty_like(held)
+            for k, at in parts:
+                grad["o"][k], grad["ob"][k] = d[at].T @ held[at], d[at].sum(0)
+                np.matmul(d[at], self.p["o"][k], out=more[at])
+            back[order] += more
+        if not whole:
+            lp, back = _spread(lp, real), _spread(back, real)
+        return lp if grad is None else (lp, back)
 
     def window(self, ids: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of one window by truncated backpropagation, and the state after it."""
@@ -291,25 +401,53 @@ class Network:
         d_h = np.zeros_like(last)
         for t in range(len(ids) - 1, -1, -1):
             before, z, reset, new, r_new, fresh = keep[t]
-            d_h = d_h + d_out[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_z = d_h * (before - new) * z * (1 - z)
-            d_reset = d_new * r_new * reset * (1 - reset)
-            d_x[t] = np.concatenate([d_z, d_reset, d_new], 1)
-            d_r = np.concatenate([d_z, d_reset, d_new * reset], 1)
+            d_h += d_out[t]
+            rest = 1 - z
+            d_new = d_h * rest
+            d_new *= 1 - new * new
+            d_z = before - new
+            d_z *= d_h
+            d_z *= z
+            d_z *= rest
+            d_reset = d_new * r_new
+            d_reset *= reset
+            d_reset *= 1 - reset
+            np.concatenate([d_z, d_reset, d_new], 1, out=d_x[t])
+            d_new *= reset
+            d_r = np.concatenate([d_z, d_reset, d_new], 1)
             grad["u"] += before.T @ d_r
-            d_h = d_h * z + d_r @ u.T
-            d_h[fresh] = 0
+            d_h *= z
+            d_h += d_r @ u.T
+            if fresh.any():
+                d_h[fresh] = 0
         d_x = d_x.reshape(-1, 3 * n)
         grad["b"] = d_x.sum(0)
-        codes = np.maximum(ids.ravel(), 0)
+        codes = np.maximum(ids.ravel(), 0).astype(np.int16)
         order = np.argsort(codes, kind="stable")
-        distinct, starts = np.unique(codes[order], return_index=True)
         grad["x"] = np.zeros_like(self.p["x"])
-        grad["x"][distinct] = np.add.reduceat(d_x[order], starts)
+        codes, starts, sizes = np.unique(codes[order], return_index=True, return_counts=True)
+        few = sizes <= 2
+        one, two = starts[few], (sizes == 2)[few]
+        sums = d_x[order[one]]
+        sums[two] += d_x[order[one[two] + 1]]
+        grad["x"][codes[few]] = sums
+        if not few.all():
+            # Codes seen often are added up in runs, which for short ones takes longer.
+            order = order[np.repeat(~few, sizes)]
+            runs = np.append(0, np.cumsum(sizes[~few])[:-1])
+            grad["x"][codes[~few]] = np.add.reduceat(d_x[order], runs)
         return grad, last
 
 
+def _spread(values: np.ndarray | None, real: np.ndarray) -> np.ndarray | None:
+    """Values of the real targets at their places, zero at padding."""
+    if values is None:
+        return None
+    out = np.zeros((len(real), *values.shape[1:]), values.dtype)
+    out[real] = values
+    return out
+
+
 def packed(docs: list[np.ndarray], streams: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Documents laid end to end in parallel streams of about equal length.
 
@@ -335,17 +473,19 @@ def packed(docs: list[np.ndarray], streams: int) -> tuple[np.ndarray, np.ndarray
     return target, before, owner
 
 
-def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Rows and their codes, some ``TOKENS`` at a time."""
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
+    """Rows and their codes (the last column), some ``TOKENS`` at a time."""
     rows, docs, size = [], [], 0
     for batch in batches:
-        for row, codes in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            rows.append(row)
+        begin = 0
+        for i, codes in enumerate(batch.column(batch.num_columns - 1), 1):
             docs.append(np.frombuffer(codes.as_py(), "<i2"))
             size += len(docs[-1])
             if size >= TOKENS:
-                yield rows, docs
-                rows, docs, size = [], [], 0
+                yield [*rows, batch.slice(begin, i - begin)], docs
+                rows, docs, size, begin = [], [], 0, i
+        if begin < batch.num_rows:
+            rows.append(batch.slice(begin))
     if docs:
         yield rows, docs
 
@@ -378,7 +518,8 @@ def _learn(
         grad, h[live] = net.window(inputs, own, h[live])
         tokens = int((own >= 0).sum())
         for k, g in grad.items():
-            held[k] += g * np.float32(tokens)
+            g *= np.float32(tokens)
+            held[k] += g
         seen += tokens
         if seen < least and at + steps < len(target):
             continue
@@ -388,9 +529,17 @@ def _learn(
         speed = rate * min(1.0, n / 20) * math.sqrt(1 - 0.999**n) / (1 - 0.9**n)
         for k, g in held.items():
             g *= np.float32(shrink)
-            one[k] += 0.1 * (g - one[k])
-            two[k] += 0.001 * (g * g - two[k])
-            net.p[k] -= speed * one[k] / (np.sqrt(two[k]) + 1e-6)
+            step = g - one[k]
+            step *= 0.1
+            one[k] += step
+            np.multiply(g, g, out=step)
+            step -= two[k]
+            step *= 0.001
+            two[k] += step
+            np.sqrt(two[k], out=step)
+            step += 1e-6
+            np.divide(np.multiply(one[k], speed, out=g), step, out=step)
+            net.p[k] -= step
             g[:] = 0
         seen = 0
     return net
@@ -419,7 +568,7 @@ def train_round(
             target, before, _ = packed(docs, streams)
             mine = _learn(mine, target, before, steps, rate, least)
             seen += int((target >= 0).sum())
-            group = int(rows[0]) >> 33
+            group = rows[0].column(0)[0].as_py() >> 33
         if seen:
             held = mine.flat().astype(np.float64) * seen
             parts = [held[i : i + piece] for i in range(0, len(held), piece)]
@@ -455,8 +604,12 @@ def train_round(
 
 
 def log_likelihoods(coded: DataFrame, net: Network, *, streams: int, steps: int) -> DataFrame:
-    """(``row``, ``lp``): natural log of the probability of each row's classes and head words."""
+    """Rows with ``lp``: natural log of the probability of their classes and head words.
+
+    Takes ``codes`` out and leaves the other columns as they are.
+    """
     p = net.p
+    others = [n for n in coded.columns if n != "codes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Network(p)
@@ -467,9 +620,14 @@ def log_likelihoods(coded: DataFrame, net: Network, *, streams: int, steps: int)
                 out, h[live] = mine.states(inputs, h[live])
                 lp = mine.losses(out.reshape(-1, mine.size), own.ravel())
                 total += np.bincount(owner[at : at + steps, live].ravel(), lp, len(docs))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(total)], names=["row", "lp"])
+            begin = 0
+            for batch in rows:
+                lp = pa.array(total[begin : begin + batch.num_rows])
+                begin += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lp], names=[*others, "lp"])
 
-    return coded.select("row", "codes").mapInArrow(run, "row long, lp double")
+    shape = coded.select(*others).withColumn("lp", F.lit(0.0)).schema
+    return coded.select(*others, "codes").mapInArrow(run, shape)
 
 
 def score_documents(
@@ -478,6 +636,7 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     head_words: int = 1024,
+    listed_words: int = LISTED,
     size: int = 16,
     streams: int = 256,
     steps: int = 16,
@@ -502,9 +661,10 @@ def score_documents(
     tokens. The state starts from zero with each text and is carried from window to
     window to its end, also where backpropagation is cut.
 
-    Only the head (``head_words``) and the weights are bounded and sent to tasks. Counts of
-    all other words are joined with the documents' distinct words by word, sums going back
-    by row: no word is a hot key there, since the frequent ones are in the head.
+    Sent to tasks are the head (``head_words``), the weights and the counts of the most
+    frequent other words (``listed_words``), all bounded. Counts of all further words are joined
+    with the documents' distinct words by word, sums going back by row: no word is a hot
+    key there, since the frequent ones are in the head or listed.
 
     Null and empty texts are their end token. A null id is no remainder 1 and so in
     training. Repeated rows stay. Without training rows the network keeps its start.
@@ -517,26 +677,33 @@ def score_documents(
     )
     counts = staged(word_counts(spread.where("NOT held_out")), "lm-counts")
     counts = counts.where("c > 0")
-    vocab = Vocabulary.of(counts, head_words)
+    vocab = Vocabulary.of(counts, head_words, listed_words)
     coded = staged(encode(spread, vocab), "lm-coded")
     net = Network.start(vocab, size, seed)
     turn = F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(16))
     for low, high in ROUNDS:
         some = coded.where(~F.col("held_out") & (turn >= low) & (turn < high))
         net = train_round(some, net, streams=streams, steps=steps, rate=rate, least=least)
-    scored = log_likelihoods(coded, net, streams=streams, steps=steps)
+    scored = log_likelihoods(coded.drop("words", "ns"), net, streams=streams, steps=steps)
     tail = coded.select("row", F.explode(F.arrays_zip("words", "ns")).alias("w"))
     tail = tail.select("row", F.col("w.words").alias("word"), F.col("w.ns").alias("k"))
-    # A word's class is known from the counts, or, unseen, only from its spelling: the
-    # part of unseen words depends on the class, so codes of the row give the class sums.
-    found = tail.join(counts.select("word", "c"), "word")
+    rare = counts.select("word", "c")
+    if vocab.least is not None:
+        rare = rare.where(F.col("c") < vocab.least)
     c = F.col("c").cast("double")
-    sums = found.groupBy("row").agg(
-        F.sum("k").alias("tail_known"),
-        F.sum(F.col("k") * (F.log10(c + 0.5) - math.log10(0.5))).alias("above"),
+    sums = tail.join(rare, "word").groupBy("row").agg(
+        F.sum("k").alias("more"),
+        F.sum(F.col("k") * (F.log10(c + 0.5) - math.log10(0.5))).alias("gain"),
     )
-    rest = math.log10(vocab.total + 0.5 * (vocab.distinct + 1))
-    return _totals(coded, vocab, scored, sums, rest).select(
+    gain = F.coalesce("gain", F.lit(0.0))
+    found = (
+        staged(scored, "lm-scores")
+        .join(sums, "row", "left")
+        .withColumn("n_known", F.col("known") + F.coalesce("more", F.lit(0)))
+        .withColumn("base_score", F.col("base") + gain)
+        .withColumn("score", F.col("lp") / math.log(10) + F.col("inner") + gain)
+    )
+    return found.select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
@@ -545,38 +712,3 @@ def score_documents(
         "base_score",
         "score",
     )
-
-
-def _totals(
-    coded: DataFrame, vocab: Vocabulary, scored: DataFrame, sums: DataFrame, rest: float
-) -> DataFrame:
-    """Scores of rows: as if all tail words were unseen, plus what the seen ones add."""
-    first = len(vocab.counts)
-    unseen = np.log10(0.5 / (vocab.tail[:, 0] + 0.5 * (vocab.tail[:, 1] + 1)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, worth = [], []
-            for codes in batch.column(1):
-                tail = np.frombuffer(codes.as_py(), "<i2").astype(np.int64) - first
-                tail = tail[tail >= 0]
-                n.append(len(tail))
-                worth.append(float(unseen[tail].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(worth, pa.float64())],
-                names=["row", "tail", "worth"],
-            )
-
-    tails = coded.select("row", "codes").mapInArrow(run, "row long, tail long, worth double")
-    above = F.coalesce("above", F.lit(0.0))
-    return (
-        coded.select("row", "id", "held_out", "n_tokens", "head_known", "head_base")
-        .join(staged(scored, "lm-scores"), "row")
-        .join(staged(tails, "lm-tails"), "row")
-        .join(sums, "row", "left")
-        .withColumn("n_known", F.col("head_known") + F.coalesce("tail_known", F.lit(0)))
-        .withColumn(
-            "base_score", F.col("head_base") + F.col("tail") * (math.log10(0.5) - rest) + above
-        )
-        .withColumn("score", F.col("lp") / math.log(10) + F.col("worth") + above)
-    )

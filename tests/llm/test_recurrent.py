@@ -5,7 +5,17 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lookback.llm.recurrent import END, MEMBERS, Network, Vocabulary, packed, score_documents
+from lookback.llm.recurrent import (
+    END,
+    MEMBERS,
+    Network,
+    Vocabulary,
+    encode,
+    packed,
+    score_documents,
+    word_counts,
+    word_hashes,
+)
 
 
 def held(i):
@@ -97,3 +107,59 @@ def test_class_and_member_probabilities_sum_to_one(network):
     codes = np.arange(3 * MEMBERS + 10)
     lp = network.losses(np.repeat(h, len(codes), 0), codes)
     assert np.exp(lp).sum() == pytest.approx(1)
+
+
+@pytest.mark.parametrize("padding", [False, True])
+def test_losses_equal_a_plain_softmax_of_each_token(network, padding):
+    rng = np.random.default_rng(4)
+    h, target = rng.normal(size=(50, 4)), rng.integers(0, 70, 50)
+    target[:10] = 3 * MEMBERS + np.arange(10)
+    if padding:
+        target[20:30] = -1
+    p, first = network.p, 3 * MEMBERS
+    for state, code, lp in zip(h, target, network.losses(h, target), strict=True):
+        group = code // MEMBERS if code < first else code - first + 3
+        score = np.exp(state @ p["c"] + p["cb"])
+        want = math.log(score[group] / score.sum()) if code >= 0 else 0
+        if 0 <= code < first:
+            inner = np.exp(p["o"][group] @ state + p["ob"][group])
+            want += math.log(inner[code % MEMBERS] / inner.sum())
+        assert lp == pytest.approx(want)
+
+
+def zipf_docs(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"W{w}," if w % 7 == 0 else f"w{w}" for w in rng.zipf(1.3, 60) % 900)) for i in range(120)]
+    return spark.createDataFrame([*rows, (None, None), (120, ""), (7, rows[7][1])], "doc_id long, text string")
+
+
+def test_listed_words_change_no_score(spark):
+    docs = zipf_docs(spark).coalesce(1)
+    ways = []
+    for listed in (0, 60, 1 << 17):
+        got = score_documents(docs, head_words=32, listed_words=listed, streams=8).collect()
+        check_base(docs, got)
+        ways.append(sorted(got, key=lambda r: (str(r.doc_id), r.score)))
+    for a, b, c in zip(*ways, strict=True):
+        assert a[:5] == b[:5] == c[:5]
+        assert a.score == pytest.approx(b.score, rel=1e-12) == pytest.approx(c.score, rel=1e-12)
+
+
+def test_only_words_not_listed_are_looked_up(spark):
+    rows = zipf_docs(spark).selectExpr("doc_id AS row", "doc_id AS id", "false AS held_out", "CAST(text AS BINARY) AS text")
+    counts = word_counts(rows)
+    words = Counter(w for r in rows.collect() for w in [*bytes(r.text or b"").lower().split(), b""])
+    of = dict(zip(word_hashes(words).tolist(), words.values(), strict=True))
+    tail = sum(words.values())
+    for listed in (0, 1, 60, 1 << 17):
+        vocab = Vocabulary.of(counts, 32, listed)
+        assert len(vocab.listed) <= listed and vocab.listed.tolist() == sorted(vocab.listed.tolist())
+        assert [of[h] for h in vocab.listed.tolist()] == vocab.often.tolist()
+        known = {*vocab.listed.tolist(), *vocab.head}
+        left = Counter()
+        for r in encode(rows, vocab).collect():
+            left.update(dict(zip(r.words, r.ns, strict=True)))
+        assert left == {h: n for h, n in of.items() if h not in known}
+        assert sum(left.values()) <= tail
+        tail = sum(left.values())
+    assert not left
